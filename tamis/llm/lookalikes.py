@@ -4,7 +4,7 @@
    become plain; accents compose; invisible characters go; every kind of white space is a space, runs are one space.
    Raised figures, dashes, quotes and case stay, for they look different.
 2. Look-alikes: in a token (a run of letters) that mixes scripts, the dominant script is that of its letters which no
-   other script shares, else that of the whole text.  Letters that only look like it are substituted, if the result is
+   other script shares, else that of the whole text, else Latin.  Letters that only look like it are substituted, if the result is
    of one script and is in the corpus vocabulary.  A token wholly of look-alikes of another script than its text's is
    mixed with its surroundings and is treated so too.  The vocabulary has every token of the corpus after step 1, and
    counts a word as present too when two differently stored tokens give it.
@@ -77,10 +77,9 @@ def _script(ch: str) -> str:
 
 
 def _dominant(text: str) -> str:
-    """The script of most letters that no other script shares; of all letters if there are none such."""
-    scripts = [(s, ch) for ch in unicodedata.normalize("NFD", text) if ch.isalpha() and (s := _script(ch))]
-    own = [s for s, ch in scripts if ch not in SHARED[s]] or [s for s, _ in scripts]
-    return max("LCG", key=own.count) if own else ""
+    """The script of most letters that no other script shares; Latin, the corpus's own, if there are none such."""
+    own = [s for ch in unicodedata.normalize("NFD", text) if ch.isalpha() and (s := _script(ch)) and ch not in SHARED[s]]
+    return max("LCG", key=own.count)
 
 
 def candidates(text: str) -> list[tuple[str, str]]:
@@ -101,7 +100,7 @@ def candidates(text: str) -> list[tuple[str, str]]:
             main = whole
         else:
             main = _dominant(token)
-        fixed = "".join(TO[main].get(ch, ch) if s and s != main else ch for s, ch in letters) if main else token
+        fixed = "".join(TO[main].get(ch, ch) if s and s != main else ch for s, ch in letters)
         fixed = unicodedata.normalize("NFC", fixed)
         if fixed != token and len({s for ch in unicodedata.normalize("NFD", fixed) if ch.isalpha() and (s := _script(ch))}) == 1:
             out[token] = fixed

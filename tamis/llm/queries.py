@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tamis.llm import components, formatting, lookalikes, simjoin, survivors
+from tamis.llm import components, formatting, lookalikes, mixing, packing, simjoin, survivors, tokens
 from tamis.scratch import Scratch
 from tamis.tables import live_questions, table
 
@@ -114,3 +114,27 @@ def p5_found(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {"p1_found": p1_found, "p1_values": p1_values, "p2_found": p2_found, "p3_found": p3_found, "p4_found": p4_found, "p5_found": p5_found}
 SQL: dict[str, str] = {}
+
+# ---------------------------------------------------------------- problems 7 and 8
+
+
+def p7_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Container and fill of every document, or piece of one, for every capacity."""
+    docs = tokens.with_tokens(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return packing.pack(docs, table(spark, sf_dir, "pack_sizes"))
+
+
+def _mixed(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    docs = tokens.with_tokens(table(spark, sf_dir, "documents").select("doc_id", "source", "text"))
+    return mixing.mix(docs, table(spark, sf_dir, "mix_targets"))
+
+
+def p8_mixture(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _mixed(spark, sf_dir)[0]
+
+
+def p8_shares(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _mixed(spark, sf_dir)[1]
+
+
+QUERIES |= {"p7_packing": p7_packing, "p8_mixture": p8_mixture, "p8_shares": p8_shares}
