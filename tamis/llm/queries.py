@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tamis.llm import components, formatting, lookalikes, mixing, packing, simjoin, survivors, tokens
+from tamis.llm import abuse, components, formatting, lookalikes, mixing, packing, simjoin, survivors, tokens
 from tamis.scratch import Scratch
 from tamis.tables import live_questions, table
 
@@ -138,3 +138,50 @@ def p8_shares(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES |= {"p7_packing": p7_packing, "p8_mixture": p8_mixture, "p8_shares": p8_shares}
+
+# ---------------------------------------------------------------- problem 9
+
+
+def scored_documents(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, float]:
+    """(doc_id, source, score) of every document, and the score from which a document is a case."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "source", "text")
+    known = abuse.labelled(docs, table(spark, sf_dir, "document_labels"))
+    rarity = abuse.rarity_of(*abuse.document_counts(docs))
+    model, threshold = abuse.train([*known["text"]], known["label"].to_numpy(), rarity)
+    return abuse.score(docs, model), threshold
+
+
+def p9_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    scored, threshold = scored_documents(spark, sf_dir)
+    return scored.where(F.col("score") >= threshold).select("doc_id")
+
+
+def p9_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return scored_documents(spark, sf_dir)[0].select("doc_id", "score")
+
+
+def p9_rates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents, cases and their rate per source; NULL sources are one group."""
+    scored, threshold = scored_documents(spark, sf_dir)
+    case = (F.col("score") >= threshold).cast("int")
+    return scored.groupBy("source").agg(F.count("*").alias("docs"), F.sum(case).alias("cases"), F.avg(case).alias("rate"), F.avg("score").alias("mean_score"))
+
+
+QUERIES |= {"p9_found": p9_found, "p9_scores": p9_scores, "p9_rates": p9_rates}
+
+# ---------------------------------------------------------------- SQL
+
+_LIVE = """
+live AS (
+  SELECT q.*, c.id AS chapter FROM questions q JOIN files f ON q.file_ref_id = f.id JOIN books b ON f.book_id = b.id JOIN chapters c ON b.chapter_id = c.id
+  WHERE q.canonical_id IS NULL)"""
+
+SQL |= {
+    "p3_found": """
+WITH RECURSIVE edge AS (
+  SELECT DISTINCT q1_id AS a, q2_id AS b FROM dedupe_review_candidates
+  WHERE q1_id <> q2_id AND coalesce(lower(trim(status)), '') <> 'rejected'),
+both_ways AS (SELECT a, b FROM edge UNION SELECT b, a FROM edge),
+reach(v, u) AS (SELECT a, b FROM both_ways UNION SELECT r.v, e.b FROM reach r JOIN both_ways e ON r.u = e.a)
+SELECT v AS question_id, least(v, min(u)) AS group_id FROM reach GROUP BY v""",
+}
