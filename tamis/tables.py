@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tamis.scratch import small
+
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
@@ -21,7 +23,8 @@ def file_chapters(spark: SparkSession, sf_dir: str) -> DataFrame:
 def live_questions(spark: SparkSession, sf_dir: str, *columns: str, how: str = "inner") -> DataFrame:
     """Live questions (canonical_id NULL) with their chapter_id; ``how="left"`` keeps those without one.
 
-    The three dimensions hold a few hundred fixed rows, so the planner broadcasts them by their own size.
+    The questions stay where they are while the files, counted first, are few; else both sides shuffle.
     """
+    chapters = small(file_chapters(spark, sf_dir), table(spark, sf_dir, "files").count())
     q = table(spark, sf_dir, "questions").where(F.col("canonical_id").isNull()).select("file_ref_id", *columns)
-    return q.join(file_chapters(spark, sf_dir), "file_ref_id", how).select("chapter_id", *columns)
+    return q.join(chapters, "file_ref_id", how).select("chapter_id", *columns)
