@@ -46,7 +46,7 @@ QUERIES = {"p6_found": p6_found, "p6_periods": p6_periods, "p6_keys": p6_keys}
 
 _FOUND = """
 WITH refs AS (
-  SELECT 'reported_questions' AS ref_table, id AS row_id, qid AS k, reported_at AS at, true AS checks FROM reported_questions
+  SELECT 'reported_questions' AS ref_table, id AS row_id, qid AS k, reported_at AS ref_at, true AS checks FROM reported_questions
   UNION SELECT 'admin_corrections', id::VARCHAR, question_id, created_at, true FROM admin_corrections
   UNION SELECT 'questions', id::VARCHAR, canonical_id, created_at, false FROM questions),
 fate AS (
@@ -54,8 +54,8 @@ fate AS (
   FROM refs r LEFT JOIN questions q ON q.id = r.k WHERE r.k IS NOT NULL)
 SELECT DISTINCT ref_table, row_id,
   CASE WHEN qid IS NOT NULL THEN 'late' WHEN gone THEN 'deleted' ELSE 'missing' END AS problem,
-  coalesce(strftime(at::TIMESTAMP, '%Y-%m'), 'unknown') AS period
-FROM fate WHERE qid IS NULL OR (checks AND since > at)"""
+  coalesce(strftime(ref_at::TIMESTAMP, '%Y-%m'), 'unknown') AS period
+FROM fate WHERE qid IS NULL OR (checks AND since > ref_at)"""
 
 SQL = {
     "p6_found": _FOUND,

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tamis.scratch import small
@@ -20,11 +20,13 @@ def file_chapters(spark: SparkSession, sf_dir: str) -> DataFrame:
     return f.join(b, "book_id").join(c, "chapter_id").select("file_ref_id", F.col("chapter_id").cast("bigint").alias("chapter_id"))
 
 
-def live_questions(spark: SparkSession, sf_dir: str, *columns: str, how: str = "inner") -> DataFrame:
+def live_questions(spark: SparkSession, sf_dir: str, *columns: str | Column, how: str = "inner") -> DataFrame:
     """Live questions (canonical_id NULL) with their chapter_id; ``how="left"`` keeps those without one.
 
     The questions stay where they are while the files, counted first, are few; else both sides shuffle.
     """
     chapters = small(file_chapters(spark, sf_dir), table(spark, sf_dir, "files").count())
-    q = table(spark, sf_dir, "questions").where(F.col("canonical_id").isNull()).select("file_ref_id", *columns)
-    return q.join(chapters, "file_ref_id", how).select("chapter_id", *columns)
+    q = table(spark, sf_dir, "questions").where(F.col("canonical_id").isNull())
+    q = q.select(F.col("file_ref_id").alias("_file"), *columns)
+    chapters = chapters.withColumnRenamed("file_ref_id", "_file")
+    return q.join(chapters, "_file", how).drop("_file")
