@@ -171,10 +171,6 @@ QUERIES |= {"p9_found": p9_found, "p9_scores": p9_scores, "p9_rates": p9_rates}
 
 # ---------------------------------------------------------------- SQL
 
-_LIVE = """
-live AS (
-  SELECT q.*, c.id AS chapter FROM questions q JOIN files f ON q.file_ref_id = f.id JOIN books b ON f.book_id = b.id JOIN chapters c ON b.chapter_id = c.id
-  WHERE q.canonical_id IS NULL)"""
 
 SQL |= {
     "p3_found": """
@@ -184,4 +180,21 @@ WITH RECURSIVE edge AS (
 both_ways AS (SELECT a, b FROM edge UNION SELECT b, a FROM edge),
 reach(v, u) AS (SELECT a, b FROM both_ways UNION SELECT r.v, e.b FROM reach r JOIN both_ways e ON r.u = e.a)
 SELECT v AS question_id, least(v, min(u)) AS group_id FROM reach GROUP BY v""",
+    "p1_found": r"""
+WITH RECURSIVE edge AS (SELECT DISTINCT canonical_id AS a, deleted_id AS b FROM dedup_deletions WHERE canonical_id <> deleted_id),
+both_ways AS (SELECT a, b FROM edge UNION SELECT b, a FROM edge),
+reach(v, u) AS (SELECT a, b FROM both_ways UNION SELECT r.v, e.b FROM reach r JOIN both_ways e ON r.u = e.a),
+member AS (SELECT v AS id, least(v, min(u)) AS g FROM reach GROUP BY v),
+snap AS (SELECT deleted_id AS id, arg_max(json_extract(snapshot, '$.question'), (merged_at, id)) AS j FROM dedup_deletions WHERE snapshot IS NOT NULL GROUP BY deleted_id),
+val AS (
+  SELECT m.g, m.id, CASE WHEN q.id IS NOT NULL THEN q.corrected_at ELSE try_cast(json_extract_string(s.j, '$.corrected_at') AS TIMESTAMPTZ) END AS fixed_at,
+    CASE WHEN q.id IS NOT NULL THEN q.quality_score ELSE try_cast(json_extract_string(s.j, '$.quality_score') AS FLOAT) END AS score,
+    CASE WHEN q.id IS NOT NULL THEN q.explanation ELSE json_extract_string(s.j, '$.explanation') END AS e,
+    CASE WHEN q.id IS NOT NULL THEN q.correct_text ELSE json_extract_string(s.j, '$.correct_text') END AS c
+  FROM member m LEFT JOIN questions q ON q.id = m.id LEFT JOIN snap s ON s.id = m.id),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY g ORDER BY fixed_at DESC NULLS LAST, score DESC NULLS LAST, id) AS r FROM val)
+SELECT g AS group_id, arg_min(id, r) AS best_id,
+  coalesce(arg_min(id, r) FILTER (WHERE regexp_matches(e, '[\\p{L}\\p{N}]')), -1) AS explanation_id,
+  coalesce(arg_min(id, r) FILTER (WHERE regexp_matches(c, '[\\p{L}\\p{N}]')), -1) AS answer_id
+FROM ranked GROUP BY g""".replace("\\\\", "\\"),
 }
