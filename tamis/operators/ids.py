@@ -20,7 +20,7 @@ def allocate(wanted: DataFrame, taken: DataFrame, probes: int = 200) -> DataFram
     that find none get NULL.  A prefix holds one file part (50 items), so its groups are few.
     """
 
-    def one(key, pdf: pd.DataFrame) -> pd.DataFrame:
+    def one(key: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
         used = {*(x for x in pdf["public_id"] if isinstance(x, str))}
         out = []
         for row in pdf[pdf["group_id"].notna()].sort_values("group_id").itertuples():

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections import Counter
 from collections.abc import Iterator
 
 import pandas as pd
@@ -44,10 +45,26 @@ def pair_scores(a_text: str, b_text: str, a_opts: list[str], b_opts: list[str])
     return stem, sum(best_ratio(x, y) for x, y in zip(sorted(a_opts), sorted(b_opts))) / len(a_opts)
 
 
-def _score(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    for pdf in batches:
-        s = [pair_scores(*r) for r in zip(pdf["a_text"], pdf["b_text"], pdf["a_opts"], pdf["b_opts"])]
-        yield pdf[["chapter_id", "q1_id", "q2_id"]].assign(stem_score=[x[0] for x in s], options_score=[x[1] for x in s])
+def bound(a: str, b: str) -> float:
+    """At least the ratio of the texts and of their sorted words: as if all characters in common stood in order."""
+    return 100.0 * 2 * sum((Counter(a) & Counter(b)).values()) / (len(a) + len(b)) if a or b else 100.0
+
+
+def _score(min_stem: float, min_options: float):
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in batches:
+            rows = zip(pdf["a_text"], pdf["b_text"], pdf["a_opts"], pdf["b_opts"])
+            s = [pair_scores(*r) if bound(r[0], r[1]) >= min_stem else (0.0, 0.0) for r in rows]
+            out = pdf[["chapter_id", "q1_id", "q2_id"]].assign(stem_score=[x[0] for x in s], options_score=[x[1] for x in s])
+            yield out[(out["stem_score"] >= min_stem) & (out["options_score"] >= min_options)]
+
+    return run
+
+
+def spread(df: DataFrame) -> int:
+    """Tasks for steps whose rows are small and costly."""
+    spark = df.sparkSession
+    return max(4 * spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions")))
 
 
 def words_of(text) -> object:
@@ -68,26 +85,39 @@ def candidates(q: DataFrame, min_stem: float = 80, min_options: float = 65, rare
     block = tokens.join(df, ["chapter_id", "w"]).withColumn("r", first).where((F.col("r") <= rare) & (F.col("df") <= posting)).select("chapter_id", "w", "id")
     pair = block.withColumnRenamed("id", "q1_id").join(block.withColumnRenamed("id", "q2_id"), ["chapter_id", "w"]).where("q1_id < q2_id").select("chapter_id", "q1_id", "q2_id").distinct()
     side = lambda s, c: norm.where(F.size("opts") > 0).select(F.col("id").alias(s), F.col("identity").alias(f"{c}_key"), F.col("text").alias(f"{c}_text"), F.col("opts").alias(f"{c}_opts"))
-    full = pair.join(side("q1_id", "a"), "q1_id").join(side("q2_id", "b"), "q2_id").where("NOT (a_key <=> b_key)")
+    full = pair.join(side("q1_id", "a"), "q1_id").join(side("q2_id", "b"), "q2_id").where("NOT (a_key <=> b_key) AND size(a_opts) = size(b_opts)")
+    full = full.where(200 * F.least(F.length("a_text"), F.length("b_text")) >= min_stem * (F.length("a_text") + F.length("b_text")))
     schema = "chapter_id bigint, q1_id bigint, q2_id bigint, stem_score double, options_score double"
-    scored = full.mapInPandas(_score, schema).where((F.col("stem_score") >= min_stem) & (F.col("options_score") >= min_options))
+    full = full.repartition(spread(q), "q1_id", "q2_id")  # few bytes but much work: not to be merged into few tasks
+    scored = full.mapInPandas(_score(min_stem, min_options), schema)
     best = F.row_number().over(Window.partitionBy("side").orderBy(F.desc(F.col("stem_score") + F.col("options_score")), F.desc("stem_score"), "q1_id", "q2_id"))
     ranked = scored.withColumn("side", F.explode(F.array("q1_id", "q2_id"))).withColumn("r", best).where(F.col("r") <= kept)
     return ranked.select("chapter_id", "q1_id", "q2_id", F.round("stem_score", 2).alias("stem_score"), F.round("options_score", 2).alias("options_score")).distinct()
 
 
 def trigram_pairs(df: DataFrame, key: str, text: str, threshold: float = 0.9) -> DataFrame:
-    """Pairs (a, b, similarity), a < b, of trigram similarity >= threshold, by an exact prefix filter.
+    """Pairs (a, b, similarity), a < b, of trigram similarity >= threshold, by an exact filter.
 
-    Trigrams are ordered by frequency; only a text's first n - ceil(t n) + 1 meet, in texts of fitting size.
+    Trigrams are ordered by frequency.  Two similar sets share at least two of the first n - ceil(t n) + 2 trigrams of
+    both, so they meet on pairs of those, in sets of fitting size and place; sets of one trigram meet on it.
     """
-    sets = df.select(F.col(key).alias("id"), canon.trigrams(F.col(text)).alias("g")).where(F.size("g") > 0)
+    sets = df.select(F.col(key).alias("id"), F.array_sort(F.transform(canon.trigrams(F.col(text)), lambda g: F.xxhash64(g))).alias("g")).where(F.size("g") > 0)
     freq = sets.select(F.explode("g").alias("w")).groupBy("w").agg(F.count("*").alias("f"))
     order = sets.select("id", F.explode("g").alias("w")).join(freq, "w").groupBy("id").agg(F.array_sort(F.collect_list(F.struct("f", "w"))).alias("o"))
     n = F.size("o")
-    keys = order.select("id", n.alias("n"), F.explode(F.slice("o", F.lit(1), (n - F.ceil(n * threshold - 1e-9) + 1).cast("int"))).alias("x")).select("id", "n", "x.w")
-    a, b = keys.select("w", F.col("id").alias("a"), F.col("n").alias("na")), keys.select("w", F.col("id").alias("b"), F.col("n").alias("nb"))
-    near = a.join(b, "w").where((F.col("a") < F.col("b")) & (F.col("na") >= threshold * F.col("nb") - 1e-9) & (F.col("nb") >= threshold * F.col("na") - 1e-9)).select("a", "b").distinct()
-    side = lambda c: sets.select(F.col("id").alias(c), F.col("g").alias(f"g{c}"))
+    room = (n - F.ceil(n * threshold - 1e-9) + 2).cast("int")
+    first = order.select("id", n.alias("n"), F.slice("o", F.lit(1), room).alias("o")).where((n == 1) | F.exists("o", lambda x: x["f"] > 1)).repartition(spread(df), "id")
+    head = first.select("id", "n", F.posexplode("o").alias("i", "x"), "o").where(F.col("x.f") > 1)
+    rest = F.slice("o", F.col("i") + 2, F.greatest(F.size("o") - F.col("i") - 1, F.lit(0)))
+    two = head.select("id", "n", "i", "x", F.posexplode(rest).alias("j", "y")).where(F.col("y.f") > 1).select("id", "n", F.xxhash64("x.w", "y.w").alias("w"), (F.col("i") + F.col("j") + 1).alias("p"))
+    one = head.where("n = 1").select("id", "n", F.col("x.w").alias("w"), F.lit(0).alias("p"))
+    keys = two.unionByName(one)
+    side = lambda c: keys.select("w", F.col("id").alias(c), F.col("n").alias(f"n{c}"), F.col("p").alias(f"p{c}"))
+    na, nb = F.col("na"), F.col("nb")
+    share = F.ceil((na + nb) * (threshold / (1 + threshold)) - 1e-9)
+    most = F.least(F.col("pa"), F.col("pb")) + 1 + F.least(na - F.col("pa"), nb - F.col("pb")) - 1
+    fits = (F.col("a") < F.col("b")) & (na >= threshold * nb - 1e-9) & (nb >= threshold * na - 1e-9) & (most >= share)
+    met = side("a").join(side("b"), "w").where(fits).select("a", "b").distinct()
+    whole = lambda c: sets.select(F.col("id").alias(c), F.col("g").alias(f"g{c}"))
     sim = canon.set_similarity(F.col("ga"), F.col("gb"))
-    return near.join(side("a"), "a").join(side("b"), "b").select("a", "b", sim.alias("similarity")).where(F.col("similarity") >= threshold - 1e-12)
+    return met.join(whole("a"), "a").join(whole("b"), "b").select("a", "b", sim.alias("similarity")).where(F.col("similarity") >= threshold - 1e-12)

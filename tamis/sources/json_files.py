@@ -17,7 +17,7 @@ def items(json: Column) -> Column:
     """Array of JSON objects: the text's own list, or that under questions, data or items; one object is one item."""
     v = F.try_parse_json(json)
     listed = lambda path: F.try_variant_get(v, path, "array<variant>")
-    kept = lambda a: F.filter(F.transform(a, F.to_json), lambda x: x.startswith("{"))
+    kept = lambda a: F.filter(F.transform(a, lambda x: F.to_json(x)), lambda x: x.startswith("{"))
     return kept(F.coalesce(listed("$"), listed("$.questions"), listed("$.data"), listed("$.items"), F.array(v)))
 
 
