@@ -37,7 +37,7 @@ MASK = (1 << BITS) - 1
 #: The labelled sample holds more cases than the whole; a fit text of it counts for so many when the threshold is set.
 FIT_WEIGHT = 4.0
 #: Bounds of the threshold, for few labels choose badly.
-LEAST, MOST = 0.2, 0.8
+LEAST, MOST = 0.4, 0.8
 
 #: Word classes.
 CLASSES = {
