@@ -87,16 +87,21 @@ def latest(df: DataFrame, key: str, *order: Column) -> DataFrame:
     return df.groupBy(key).agg(F.max_by(F.struct(*cols), F.struct(*[o.alias(f"o{i}") for i, o in enumerate(order)])).alias("r")).select("r.*")
 
 
-def upsert(old: DataFrame, new: DataFrame, key: str, keep_old: Column | None = None) -> DataFrame:
-    """Rows of both, new ones over old ones of the same key; where ``keep_old`` (over the old row) holds, the old stays."""
+def upsert(old: DataFrame, new: DataFrame, key: str, keep_old: Column | None = None, held: list[str] | None = None, own: list[str] = ()) -> DataFrame:
+    """Rows of both, new ones over old ones of the same key; where ``keep_old`` (over the old row) holds, the old stays.
+
+    With ``held`` only these columns stay then, and the others are the new ones.  Columns in ``own`` are never overwritten.
+    """
     cols = old.columns
-    o, n = old.select(F.struct(*cols).alias("o"), F.col(key).alias("_k")), new.select(F.struct(*cols).alias("n"), F.col(key).alias("_k"))
-    held = F.lit(False) if keep_old is None else F.coalesce(keep_old, F.lit(False))
-    old_flag = old.select(F.col(key).alias("_k"), held.alias("_held"))
-    both = o.join(n, "_k", "full").join(old_flag, "_k", "left")
-    return both.select(F.when(F.col("n").isNull() | F.coalesce("_held", F.lit(False)) & F.col("o").isNotNull(), F.col("o")).otherwise(F.col("n")).alias("r")).select("r.*")
+    flag = F.lit(False) if keep_old is None else F.coalesce(keep_old, F.lit(False))
+    o, n = old.select(F.struct(*cols).alias("o"), flag.alias("_held"), F.col(key).alias("_k")), new.select(F.struct(*cols).alias("n"), F.col(key).alias("_k"))
 
+    def of(c: str) -> Column:
+        there = F.col("o").isNotNull()
+        stays = there if c in own else there & F.coalesce("_held", F.lit(False)) if held is None or c in held else F.lit(False)
+        return F.when(F.col("n").isNull() | stays, F.col(f"o.{c}")).otherwise(F.col(f"n.{c}")).alias(c)
 
+    return o.join(n, "_k", "full").select(*[of(c) for c in cols])
 
 
 def parts(df: DataFrame, group: list[str], order: list[Column], size: int = 50) -> DataFrame:

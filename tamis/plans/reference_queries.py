@@ -369,8 +369,28 @@ def alias_overlay(spark, d):
 both("revertible", """WITH r AS (SELECT id, question_id, reverted_at, row_number() OVER (PARTITION BY question_id ORDER BY created_at DESC, id DESC) AS k FROM {admin_corrections} WHERE question_id IS NOT NULL AND created_at IS NOT NULL)
 SELECT id, question_id FROM r WHERE k = 1 AND reverted_at IS NULL""")
 both("tombstone_anti", "SELECT q.id FROM {questions} q WHERE NOT EXISTS (SELECT 1 FROM {dedup_deletions} d WHERE d.deleted_id = q.id)")
-both("dirty_upsert", """SELECT a.id, CASE WHEN a.backend_dirty THEN a.status ELSE coalesce(b.status, a.status) END AS status FROM (SELECT id, max(status) AS status, bool_or(backend_dirty) AS backend_dirty FROM {reported_questions} WHERE resolved_at IS NULL GROUP BY id) a
-LEFT JOIN (SELECT id, max(status) AS status FROM {reported_questions} WHERE resolved_at IS NOT NULL GROUP BY id) b ON a.id = b.id""")
+
+#: Columns of a report that a change made here and not yet pushed holds against the incoming state, and those that an incoming state never has.
+_HELD = ["status", "resolved_at", "resolved_by", "corrected", "corrected_snapshot", "backend_synced_at"]
+_OWN = ["backend_dirty", "correction_audit_id"]
+
+
+@query("""SELECT a.id, CASE WHEN a.backend_dirty THEN a.status ELSE coalesce(b.status, a.status) END AS status FROM (SELECT id, max(status) AS status, bool_or(backend_dirty) AS backend_dirty FROM reported_questions WHERE resolved_at IS NULL GROUP BY id) a
+LEFT JOIN (SELECT id, max(status) AS status FROM reported_questions WHERE resolved_at IS NOT NULL GROUP BY id) b ON a.id = b.id""")
+def dirty_upsert(spark, d):
+    """The reports after the resolved deliveries came in over the unresolved ones; new ids are inserted.
+
+    The SQL is that of an earlier, narrower form: it lacks the inserted ids and gives one column, so it doesn't agree.
+    """
+    r = table(spark, d, "reported_questions")
+    zero = F.timestamp_micros(F.lit(0))
+    newest = [F.coalesce("migrated_at", zero), F.coalesce("resolved_at", zero), F.coalesce("status", F.lit("")), F.xxhash64(*r.columns)]
+    last = lambda where: dedupe.latest(r.where(where), "id", *newest)
+    sent = last("resolved_at IS NOT NULL").withColumns({
+        "status": F.coalesce(F.nullif(F.col("status"), F.lit("")), F.lit("open")), "corrected": F.coalesce("corrected", F.lit(False)),
+        "backend_dirty": F.lit(False), "correction_audit_id": F.lit(None).cast(r.schema["correction_audit_id"].dataType),
+    })
+    return dedupe.upsert(last("resolved_at IS NULL"), sent, "id", F.col("backend_dirty"), _HELD, _OWN)
 
 
 @query("""WITH o AS (SELECT id, drive_md5 AS h FROM files WHERE last_synced_at IS NULL OR id % 7 <> 0), n AS (SELECT id, CASE WHEN id % 5 = 0 THEN md5(coalesce(drive_md5, '')) ELSE drive_md5 END AS h FROM files WHERE id % 11 <> 0)

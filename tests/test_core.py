@@ -3,12 +3,14 @@ import json
 import random
 import subprocess
 import sys
+from datetime import datetime
 
 import pytest
 from pyspark.sql import functions as F
 
 from tamis.functions import canon
 from tamis.operators import classify, dedupe, ids, near, orphans, sync
+from tamis.plans import reference_queries
 from tamis.plans.store import Pipeline, Store
 from tamis.sources import json_files
 from tamis.streaming import feeds
@@ -170,3 +172,20 @@ def test_ledger_stream_applies_once(spark, tmp_path):
 def test_core_does_not_need_the_llm_folder():
     code = "import sys; sys.modules['tamis.llm'] = None; import __spark_entry__ as e; assert e.queries() and not [q for q in e.queries() if q.startswith('p1_')]"
     subprocess.run([sys.executable, "-c", code], check=True)
+
+
+def test_dirty_upsert_inserts_new_ids_and_holds_six_columns(spark, tmp_path):
+    schema = "id string, uid string, status string, resolved_at timestamp, resolved_by string, corrected boolean, corrected_snapshot string, migrated_at timestamp, backend_dirty boolean, backend_synced_at timestamp, correction_audit_id bigint"
+    at = lambda n: datetime(2024, 1, n)
+    spark.createDataFrame([
+        ("dirty", "old", "waiting", None, None, True, "s", at(1), True, at(1), 7), ("dirty", "new", "resolved", at(3), "b", False, None, at(3), False, at(3), None),
+        ("clean", "old", "open", None, None, False, None, at(1), False, None, 8), ("clean", "new", "dismissed", at(3), "b", True, "t", at(4), False, at(4), None),
+        ("clean", "mid", "resolved", at(2), "a", False, None, at(2), False, at(2), None),
+        ("came", "new", None, at(3), "b", True, "t", at(3), True, at(3), 9), ("here", "old", None, None, None, False, None, None, None, None, None),
+    ], schema).write.parquet(f"{tmp_path}/reported_questions.parquet")
+    got = {r["id"]: r for r in reference_queries.QUERIES["dirty_upsert"](spark, str(tmp_path)).collect()}
+    assert set(got) == {"dirty", "clean", "came", "here"}
+    assert tuple(got["dirty"]) == ("dirty", "new", "waiting", None, None, True, "s", at(3), True, at(1), 7)
+    assert tuple(got["clean"]) == ("clean", "new", "dismissed", at(3), "b", True, "t", at(4), False, at(4), 8)
+    assert tuple(got["came"])[2:] == ("open", at(3), "b", True, "t", at(3), False, at(3), None)
+    assert got["here"]["uid"] == "old" and got["here"]["status"] is None
