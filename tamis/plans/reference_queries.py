@@ -456,12 +456,18 @@ def id_prefixes(spark, d):
 
 @query()
 def stable_ids(spark, d):
-    """Public ids for live questions that have none, none given twice."""
-    q = live_questions(spark, d, "id", "question_number", "stable_qn_id", F.col("file_ref_id").alias("file"))
+    """The public id of every identity of a level, on its keeper: the one it has, else a new one; none given twice.
+
+    An identity is the source key, unless that is only a number within its file; then it is the content, computed anew
+    as stored keys are partly old or missing.  Questions without any content stand alone.
+    """
+    q = dedupe.with_identity(live_questions(spark, d, *_QUESTION, "stable_qn_id", F.col("file_ref_id").cast("string").alias("code")))
     c = table(spark, d, "chapters").select(F.col("id").alias("chapter_id"), F.col("level_id").alias("level"), F.col("chapter_key").alias("chapter"))
-    at = ids.layout(q.join(c, "chapter_id").select("id", "level", "chapter", F.col("file").cast("string").alias("code"), F.col("question_number").alias("number"), "stable_qn_id"))
-    wanted = at.where("stable_qn_id IS NULL").select(F.col("id").alias("group_id"), ids.prefix(F.col("level"), F.col("chapter"), F.col("code"), F.col("part")).alias("prefix"), "seq")
-    return ids.allocate(wanted, table(spark, d, "questions").select(F.col("stable_qn_id").alias("public_id")))
+    source, content = F.col("source_question_key"), F.concat(F.coalesce("question_text", F.lit("")), F.coalesce(F.array_join("options", ""), F.lit("")))
+    key = F.when((source != "") & ~source.rlike(r"^n:\d+$"), F.concat(F.lit("s:"), source)).when(F.trim(content) == "", F.concat(F.lit("q:"), F.col("id"))).otherwise(F.concat(F.lit("i:"), F.col("identity")))
+    q = q.withColumn("key", key).join(F.broadcast(c), "chapter_id")
+    taken = table(spark, d, "questions").select("id", F.col("stable_qn_id").alias("public_id"), F.col("canonical_id").isNull().alias("live"))
+    return ids.plan(q.select("id", "level", "chapter", "code", F.col("question_number").alias("number"), "key", "stable_qn_id", "corrected_at", "quality_score"), taken)
 
 
 @query()

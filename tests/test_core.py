@@ -198,3 +198,28 @@ def test_pending_candidates_take_pairs_turned_round(spark, tmp_path):
         (5, 60, None, 99.0, "pending", at(1)), (6, 80, 70, 99.0, "merged", at(1)), (7, 90, 91, 70.0, "pending", None), (8, 93, 92, None, "pending", at(2)), (9, 92, 93, 60.0, "pending", at(1)),
     ], "id bigint, q1_id bigint, q2_id bigint, stem_score double, status string, created_at timestamp").write.parquet(f"{tmp_path}/dedupe_review_candidates.parquet")
     assert rows(reference_queries.QUERIES["pending_candidates"](spark, str(tmp_path))) == [(10, 20, 85.0), (30, 40, 90.0), (90, 91, 70.0), (92, 93, None)]
+
+
+def test_ids_of_an_identity_are_reused_and_a_full_file_is_an_error(spark):
+    schema = "id bigint, level int, chapter string, code string, number int, key string, stable_qn_id string, corrected_at timestamp, quality_score float"
+    q = [(1, 5, "1", "7", 1, "a", None, None, 9.0), (2, 5, "1", "7", 2, "a", "X1", None, 1.0), (3, 5, "1", "7", 3, "b", None, None, 9.0), (4, 5, "1", "7", 4, "b", None, datetime(2024, 1, 1), 1.0),
+        (5, 6, "1", "7", 1, "a", None, None, None), (6, 5, "1", "7", 5, "c", None, None, 2.0), (7, 5, "2", "8", 1, "c", None, None, 2.0)]
+    df = spark.createDataFrame(q, schema)
+    held = "id bigint, public_id string, live boolean"
+    got = ids.plan(df, spark.createDataFrame([(2, "X1", True), (90, "500100710005", False)], held))
+    assert rows(got) == [(2, "X1", True), (4, "500100710004", False), (5, "600100710001", False), (6, "500100710006", False)]
+    with pytest.raises(Exception, match="several identities"):
+        ids.plan(df, spark.createDataFrame([(2, "X1", True), (91, "X1", True)], held)).collect()
+    with pytest.raises(Exception, match="no free sequence"):
+        ids.allocate(spark.createDataFrame([(1, "5001", 1)], "group_id bigint, prefix string, seq int"), spark.createDataFrame([("50010001",), ("50010002",)], "public_id string"), probes=2).collect()
+
+
+def test_stable_ids_groups_by_content_not_by_stored_keys(spark, tmp_path):
+    schema = "id bigint, question_number int, question_text string, options array<string>, correct_index int, correct_text string, explanation string, quality_score float, corrected_at timestamp, source_question_key string, canonical_id bigint, stable_qn_id string, file_ref_id bigint"
+    q = lambda i, text, src, held=None, number=None: (i, number, text, ["a", "b"] if text else None, 0, "a", None, 1.0, None, src, None, held, 30)
+    data = [q(1, "1. What is stress?", "n:1"), q(2, "What is Stress", "n:2", "5X"), q(3, "Other", "n:1"), q(4, None, None), q(5, None, None), q(6, "y", "i:z"), q(7, "z", "i:z")]
+    spark.createDataFrame(data, schema).write.parquet(f"{tmp_path}/questions.parquet")
+    for name, row, kind in [("files", (30, 20), "id bigint, book_id bigint"), ("books", (20, 10), "id bigint, chapter_id bigint"), ("chapters", (10, 5, "1"), "id bigint, level_id bigint, chapter_key string")]:
+        spark.createDataFrame([row], kind).write.parquet(f"{tmp_path}/{name}.parquet")
+    got = {r["group_id"]: (r["public_id"], r["reused"]) for r in reference_queries.QUERIES["stable_ids"](spark, str(tmp_path)).collect()}
+    assert got == {2: ("5X", True), 3: ("500103010003", False), 4: ("500103010004", False), 5: ("500103010005", False), 6: ("500103010006", False)}
