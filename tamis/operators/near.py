@@ -6,7 +6,7 @@ from collections import Counter
 from collections.abc import Iterator
 
 import pandas as pd
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tamis.functions import canon
@@ -121,3 +121,24 @@ def trigram_pairs(df: DataFrame, key: str, text: str, threshold: float = 0.9) ->
     whole = lambda c: sets.select(F.col("id").alias(c), F.col("g").alias(f"g{c}"))
     sim = canon.set_similarity(F.col("ga"), F.col("gb"))
     return met.join(whole("a"), "a").join(whole("b"), "b").select("a", "b", sim.alias("similarity")).where(F.col("similarity") >= threshold - 1e-12)
+
+
+def answer_status(a: Column, b: Column) -> Column:
+    """Of two answer texts: none if one is missing, same but for case and punctuation, or CONFLICT."""
+    key = lambda c: F.lower(F.regexp_replace(c, r"[^\p{L}\p{N}]+", " "))
+    missing = (F.coalesce(a, F.lit("")) == "") | (F.coalesce(b, F.lit("")) == "")
+    return F.when(missing, "none").when(key(a) == key(b), "same").otherwise("CONFLICT")
+
+
+def near_duplicates(q: DataFrame, threshold: float = 0.9) -> DataFrame:
+    """Pairs a < b of like text and like options, both by trigrams, with every column of both as ``a_`` and ``b_``.
+
+    q: (id, question_text, options, correct_text, ...).  Adds q_sim, opt_sim and the status of the two answers.  Questions
+    without words in their options are like none.
+    """
+    side = lambda s: q.select(F.col("id").alias(s), *[F.col(c).alias(f"{s}_{c}") for c in q.columns if c != "id"])
+    pair = trigram_pairs(q.select("id", "question_text"), "id", "question_text", threshold).withColumnRenamed("similarity", "q_sim")
+    both = pair.join(side("a"), "a").join(side("b"), "b")
+    opts = lambda s: canon.trigrams(F.array_join(f"{s}_options", " "))
+    both = both.withColumn("opt_sim", canon.set_similarity(opts("a"), opts("b"))).where(F.col("opt_sim") >= threshold - 1e-12)
+    return both.withColumn("answer", answer_status(F.col("a_correct_text"), F.col("b_correct_text")))

@@ -11,8 +11,9 @@ from pyspark.sql import functions as F
 from tamis.functions import canon
 from tamis.operators import classify, dedupe, ids, near, sync
 from tamis.sources import json_files
+from tamis.scratch import small
 from tamis.streaming import feeds
-from tamis.tables import live_questions, table
+from tamis.tables import file_chapters, live_questions, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -206,8 +207,40 @@ def pair_answer_status(spark, d):
     q = table(spark, d, "questions").select("id", F.coalesce("correct_text", F.lit("")).alias("t"))
     side = lambda k, c: q.select(F.col("id").alias(k), F.col("t").alias(c))
     p = table(spark, d, "dedupe_review_candidates").select("q1_id", "q2_id").distinct().join(side("q1_id", "a"), "q1_id").join(side("q2_id", "b"), "q2_id")
-    key = lambda c: F.lower(F.regexp_replace(c, r"[^\p{L}\p{N}]+", " "))
-    return p.select("q1_id", "q2_id", F.when((F.col("a") == "") | (F.col("b") == ""), "none").when(key("a") == key("b"), "same").otherwise("CONFLICT").alias("answer"))
+    return p.select("q1_id", "q2_id", near.answer_status(F.col("a"), F.col("b")).alias("answer"))
+
+
+def _near_duplicates(spark, d):
+    """Near duplicates among all questions with a chapter, merged ones too."""
+    chapters = small(file_chapters(spark, d), table(spark, d, "files").count())
+    c = table(spark, d, "chapters").select(F.col("id").alias("chapter_id"), F.col("level_id").alias("level"), "chapter_key")
+    q = table(spark, d, "questions").select("id", "file_ref_id", "question_text", "options", "correct_text")
+    return near.near_duplicates(q.join(chapters, "file_ref_id").join(F.broadcast(c), "chapter_id"))
+
+
+@query()
+def near_duplicates(spark, d):
+    """All pairs of like text and options, of all chapters, with the status of their answers; stored or not."""
+    of = lambda c, name: [F.col(f"{s}_{c}").alias(f"{name}_{s}") for s in "ab"]
+    return _near_duplicates(spark, d).select(
+        F.col("a").alias("id_a"), F.col("b").alias("id_b"), *of("level", "level"), *of("chapter_key", "chapter"), (F.col("a_chapter_id") == F.col("b_chapter_id")).alias("same_chapter"),
+        F.round("q_sim", 3).alias("q_sim"), F.round("opt_sim", 3).alias("opt_sim"), "answer", *of("question_text", "question"), *of("options", "options"),
+    )
+
+
+@query()
+def near_duplicate_summary(spark, d):
+    """Near duplicates at the usual thresholds of text and options."""
+    at = lambda q, o: (F.col("q_sim") >= q - 1e-12) & (F.col("opt_sim") >= o - 1e-12)
+    counts = [F.count_if(at(x / 100, x / 100)).alias(f"pairs_{x}_{x}") for x in (90, 95, 99)]
+    return _near_duplicates(spark, d).agg(*counts, F.count_if(at(0.99, 0.9) & (F.col("a_chapter_id") == F.col("b_chapter_id"))).alias("same_chapter_99"))
+
+
+@query()
+def near_duplicate_chapters(spark, d):
+    """Near duplicates in two files of one chapter, counted by chapter."""
+    n = _near_duplicates(spark, d).where("a_chapter_id = b_chapter_id AND a_file_ref_id <> b_file_ref_id")
+    return n.groupBy(F.col("a_chapter_key").alias("chapter_key"), F.col("a_level").alias("level")).agg(F.count("*").alias("duplicate_pairs"))
 
 
 # ---------------------------------------------------------------- exact duplicates

@@ -1,6 +1,7 @@
 import hashlib
 import json
 import random
+import re
 import subprocess
 import sys
 from datetime import datetime
@@ -223,3 +224,43 @@ def test_stable_ids_groups_by_content_not_by_stored_keys(spark, tmp_path):
         spark.createDataFrame([row], kind).write.parquet(f"{tmp_path}/{name}.parquet")
     got = {r["group_id"]: (r["public_id"], r["reused"]) for r in reference_queries.QUERIES["stable_ids"](spark, str(tmp_path)).collect()}
     assert got == {2: ("5X", True), 3: ("500103010003", False), 4: ("500103010004", False), 5: ("500103010005", False), 6: ("500103010006", False)}
+
+
+def test_near_duplicates_against_all_pairs(spark, tmp_path):
+    rng = random.Random(4)
+    base = [" ".join(rng.choices(["alpha", "beta", "gamma", "delta", "12.5", "kN"], k=9)) for _ in range(8)]
+    opts = [["one beam", "two beams"], ["One beam,", "two-beams"], ["three", "piers"], None, [], ["one beam", None]]
+    answers = ["One  beam", "one beam.", "two", "", None]
+    data = [(i, 30 + i % 4 if i % 7 else None, t + rng.choice(["", " *", "!"]), rng.choice(opts), rng.choice(answers)) for i, t in enumerate(base * 5)] + [(98, 30, None, ["x"], "x"), (99, 30, None, ["x"], "x")]
+    spark.createDataFrame(data, "id bigint, file_ref_id bigint, question_text string, options array<string>, correct_text string").write.parquet(f"{tmp_path}/questions.parquet")
+    spark.createDataFrame([(30, 20), (31, 20), (32, 21), (33, 22)], "id bigint, book_id bigint").write.parquet(f"{tmp_path}/files.parquet")
+    spark.createDataFrame([(20, 10), (21, 10), (22, 11)], "id bigint, chapter_id bigint").write.parquet(f"{tmp_path}/books.parquet")
+    spark.createDataFrame([(10, 1, "1"), (11, 2, "1")], "id bigint, level_id bigint, chapter_key string").write.parquet(f"{tmp_path}/chapters.parquet")
+    chapter = {30: 10, 31: 10, 32: 10, 33: 11}
+
+    def grams(t):
+        return {f"  {w} "[i : i + 3] for w in re.findall(r"[^\W_]+", (t or "").lower()) for i in range(len(w) + 1)}
+
+    def like(x, y):
+        return len(x & y) / len(x | y) if x | y else 0.0
+
+    def status(x, y):
+        x, y = (re.sub(r"[\W_]+", " ", (t or "").lower()) for t in (x, y))
+        return "none" if not x or not y else "same" if x == y else "CONFLICT"
+
+    want, counts, files = set(), [0, 0, 0, 0], {}
+    for a in data:
+        for b in data:
+            if a[0] < b[0] and a[1] and b[1]:
+                q, o = like(grams(a[2]), grams(b[2])), like(*[grams(" ".join(v for v in x[3] or [] if v)) for x in (a, b)])
+                if q >= 0.9 and o >= 0.9:
+                    same = chapter[a[1]] == chapter[b[1]]
+                    want.add((a[0], b[0], same, round(q, 3), round(o, 3), status(a[4], b[4])))
+                    counts = [n + k for n, k in zip(counts, (1, q >= 0.95 and o >= 0.95, q >= 0.99 and o >= 0.99, q >= 0.99 and same))]
+                    if same and a[1] != b[1]:
+                        files[chapter[a[1]]] = files.get(chapter[a[1]], 0) + 1
+    got = lambda name: reference_queries.QUERIES[name](spark, str(tmp_path))
+    assert {*map(tuple, got("near_duplicates").select("id_a", "id_b", "same_chapter", "q_sim", "opt_sim", "answer").collect())} == want
+    assert {w[5] for w in want} == {"none", "same", "CONFLICT"} and {w[2] for w in want} == {True, False}
+    assert rows(got("near_duplicate_summary")) == [tuple(counts)]
+    assert rows(got("near_duplicate_chapters")) == [("1", 1, files[10])] and len(files) == 1
