@@ -65,6 +65,30 @@ def tombstones(q: DataFrame, plan: DataFrame) -> DataFrame:
     return gone.select("file_ref_id", "source_question_key", F.col("identity").alias("identity_key"), F.col("id").alias("deleted_question_id"), "keeper_id")
 
 
+def rejected(plan: DataFrame, pairs: DataFrame) -> DataFrame:
+    """(id, status, review_note) of the pending review pairs (id, q1_id, q2_id, status) that name a merged row."""
+    pending = pairs.where("lower(trim(status)) = 'pending'").select("id", F.explode(F.array_distinct(F.array("q1_id", "q2_id"))).alias("duplicate_id"))
+    hit = pending.join(plan.select("duplicate_id"), "duplicate_id", "left_semi").select("id").distinct()
+    return hit.select("id", F.lit("rejected").alias("status"), F.lit("question merged").alias("review_note"))
+
+
+def cleared(plan: DataFrame, pointers: DataFrame) -> DataFrame:
+    """(id, duplicate_id, canonical_id) of rows (id, canonical_id) that pointed to a merged row; canonical_id is NULL now."""
+    to = pointers.select("id", F.col("canonical_id").alias("duplicate_id")).join(plan.select("duplicate_id"), "duplicate_id", "left_semi")
+    return to.select("id", "duplicate_id", F.lit(None).cast("bigint").alias("canonical_id"))
+
+
+def audit(plan: DataFrame, questions: DataFrame, reason: str = "exact") -> DataFrame:
+    """One row for each merge, with the merged row as it is stored in the snapshot; rows of child tables aren't."""
+    q = questions.select(F.col("id").alias("duplicate_id"), F.struct(*questions.columns).alias("question"))
+    both = plan.join(q, "duplicate_id").withColumns({"child_rows": F.create_map().cast("map<string,string>"), "keeper_before": F.lit(None).cast("string")})
+    return both.select(
+        F.col("identity").alias("signature"), F.col("keeper_id").alias("canonical_id"), F.col("duplicate_id").alias("deleted_id"),
+        *[f"question.{c}" for c in ("question_text", "options", "correct_index", "correct_text")], F.lit(reason).alias("reason"),
+        F.to_json(F.struct("question", "child_rows", "keeper_before"), {"ignoreNullFields": "false"}).alias("snapshot"),
+    )
+
+
 def resolve(pointers: DataFrame, hops: int = 10) -> DataFrame:
     """(id, target) -> (id, root, hops): pointers followed at most ``hops`` steps; a loop or a longer chain gives NULL.
 

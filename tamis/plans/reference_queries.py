@@ -279,6 +279,24 @@ def merge_cascade(spark, d):
     return dedupe.cascade(dedupe.merge_plan(q), {"reports": (child, "qid", [])})["reports"]
 
 
+@query()
+def merge_rejected(spark, d):
+    """Pending review pairs that a merge rejects."""
+    return dedupe.rejected(dedupe.merge_plan(identified(spark, d)), table(spark, d, "dedupe_review_candidates").select("id", "q1_id", "q2_id", "status"))
+
+
+@query()
+def merge_cleared(spark, d):
+    """Questions whose canonical_id names a merged question and is cleared."""
+    return dedupe.cleared(dedupe.merge_plan(identified(spark, d)), table(spark, d, "questions").select("id", "canonical_id"))
+
+
+@query()
+def merge_audit(spark, d):
+    """The audit row of every merge."""
+    return dedupe.audit(dedupe.merge_plan(identified(spark, d)), table(spark, d, "questions"))
+
+
 @query(f"{_PLAN} SELECT count(*) AS merges, greatest(500, 0.05 * (SELECT count(*) FROM ident))::DOUBLE AS cap, count(*) <= greatest(500, 0.05 * (SELECT count(*) FROM ident)) AS allowed FROM r WHERE n > 1 AND id <> keeper_id")
 def merge_guard(spark, d):
     q = identified(spark, d)

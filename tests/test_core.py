@@ -264,3 +264,17 @@ def test_near_duplicates_against_all_pairs(spark, tmp_path):
     assert {w[5] for w in want} == {"none", "same", "CONFLICT"} and {w[2] for w in want} == {True, False}
     assert rows(got("near_duplicate_summary")) == [tuple(counts)]
     assert rows(got("near_duplicate_chapters")) == [("1", 1, files[10])] and len(files) == 1
+
+
+def test_merge_rejects_pairs_clears_pointers_and_leaves_an_audit_row(spark):
+    plan = spark.createDataFrame([(1, "k", 10, 11), (1, "k", 10, 12)], "chapter_id bigint, identity string, keeper_id bigint, duplicate_id bigint")
+    pairs = spark.createDataFrame([(1, 11, 12, "pending"), (2, 30, 11, " Pending"), (3, 11, 30, "merged"), (4, 10, 30, "pending"), (5, 12, None, "pending"), (6, 11, 40, None)], "id bigint, q1_id bigint, q2_id bigint, status string")
+    assert rows(dedupe.rejected(plan, pairs)) == [(i, "rejected", "question merged") for i in (1, 2, 5)]
+    pointers = spark.createDataFrame([(20, 11), (21, 10), (22, None), (11, None)], "id bigint, canonical_id bigint")
+    assert rows(dedupe.cleared(plan, pointers)) == [(20, 11, None)]
+    q = [(i, f"t{i}", ["a", None], 0, None, None) for i in (10, 11, 12, 20)]
+    got = dedupe.audit(plan, spark.createDataFrame(q, "id bigint, question_text string, options array<string>, correct_index int, correct_text string, raw string")).orderBy("deleted_id").collect()
+    assert [tuple(r)[:8] for r in got] == [("k", 10, i, f"t{i}", ["a", None], 0, None, "exact") for i in (11, 12)]
+    seen = json.loads(got[0]["snapshot"])
+    assert seen["question"] == {"id": 11, "question_text": "t11", "options": ["a", None], "correct_index": 0, "correct_text": None, "raw": None}
+    assert seen["child_rows"] == {} and seen["keeper_before"] is None
