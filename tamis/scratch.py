@@ -65,3 +65,12 @@ BROADCAST_ROWS = 100_000
 def small(df: DataFrame, rows: int) -> DataFrame:
     """A broadcast hint if ``rows``, counted by the caller, is within the bound; else the plain table."""
     return F.broadcast(df) if rows <= BROADCAST_ROWS else df
+
+
+def spread(df: DataFrame) -> DataFrame:
+    """The table in at least as many partitions as there are cores, for steps that cost much for their bytes.
+
+    It is only moved where its files give fewer splits than that, which large tables never do.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df if df.rdd.getNumPartitions() >= cores else df.repartition(cores)
