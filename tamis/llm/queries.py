@@ -142,29 +142,21 @@ QUERIES |= {"p7_packing": p7_packing, "p8_mixture": p8_mixture, "p8_shares": p8_
 # ---------------------------------------------------------------- problem 9
 
 
-def scored_documents(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, float]:
-    """(doc_id, source, score) of every document, and the score from which a document is a case."""
+def p9_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(doc_id, source, score) of every document; 0.5 or more is a case."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "source", "text")
-    known = abuse.labelled(docs, table(spark, sf_dir, "document_labels"))
-    rarity = abuse.rarity_of(*abuse.document_counts(docs))
-    model, threshold = abuse.train([*known["text"]], known["label"].to_numpy(), rarity)
-    return abuse.score(docs, model), threshold
+    return abuse.score(docs, table(spark, sf_dir, "document_labels"))
 
 
 def p9_found(spark: SparkSession, sf_dir: str) -> DataFrame:
-    scored, threshold = scored_documents(spark, sf_dir)
-    return scored.where(F.col("score") >= threshold).select("doc_id")
-
-
-def p9_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return scored_documents(spark, sf_dir)[0].select("doc_id", "score")
+    return p9_scores(spark, sf_dir).where("score >= 0.5").select("doc_id")
 
 
 def p9_rates(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents, cases and their rate per source; NULL sources are one group."""
-    scored, threshold = scored_documents(spark, sf_dir)
-    case = (F.col("score") >= threshold).cast("int")
-    return scored.groupBy("source").agg(F.count("*").alias("docs"), F.sum(case).alias("cases"), F.avg(case).alias("rate"), F.avg("score").alias("mean_score"))
+    case = (F.col("score") >= 0.5).cast("int")
+    by = p9_scores(spark, sf_dir).groupBy("source")
+    return by.agg(F.count("*").alias("docs"), F.sum(case).alias("cases"), F.avg(case).alias("rate"), F.avg("score").alias("mean_score"))
 
 
 QUERIES |= {"p9_found": p9_found, "p9_scores": p9_scores, "p9_rates": p9_rates}

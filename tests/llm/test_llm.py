@@ -189,9 +189,33 @@ def test_mixture(spark):
 
 
 def test_disguises_give_the_same_terms():
-    plain = {k for b in abuse.sentences("you idiot") for k, _ in b}
-    for t in ("you 1d1ot", "you i d i o t", "you idi​ot", "you ｉｄｉｏｔ", "you id#iot"):
-        assert abuse._id("w idiot") in {k for b in abuse.sentences(t) for k, _ in b} & plain
+    lexicon = abuse.Lexicon()
+    terms = lambda t: {*(b := lexicon.read([t])).term} | {*b.pair}
+    for t in ("you 1d1ot", "you i d i o t", "you idi​ot", "you ｉｄｉｏｔ", "you id#iot", "You IDIIOT"):
+        assert {abuse._hash("w idiot", 0, abuse.PARTS), abuse._hash("<idi", abuse.PARTS, abuse.PARTS)} <= terms(t) & terms("you idiot")
+
+
+def test_reading_keeps_sentences_and_texts_apart():
+    b = abuse.Lexicon().read(["One two. Three 4.5 five", None, "", "..", "six\nseven"])
+    assert [*b.owner] == [0, 0, 4, 4] and [*np.bincount(b.sentence)] == [2, 4, 1, 1] and len(b.pair) == 1
+    n = b.documents(np.ones(5))
+    assert n[abuse._hash("w two", 0, abuse.PARTS)] == 1 and abuse.Lexicon().read([None]).texts == 1
+    double = abuse.Lexicon().read(["ha ha. ha", "ha"])
+    assert double.documents(np.ones(2))[double.first[0]] == 2 and double.spread(np.ones(3))[double.first[0]] == 4
+
+
+def test_evidence_leaves_out_the_own_share():
+    b = abuse.Lexicon().read(["a b", "a c"])
+    n, total = b.documents(np.ones(2)), b.documents(np.array([1.0, -1.0]))
+    e = b.evidence(n, total, np.array([1.0, -1.0]), 0.0, 3.0, False)
+    assert e[0].tolist() == pytest.approx([0, -0.25, -0.125, 0, 0, 0]) and e[1].tolist() == pytest.approx([0.25, 0, 0.125, 0, 0, 0])
+
+
+def test_valley():
+    z, n = np.arange(-400, 401) / 8, np.zeros(801)
+    n[400 - 40], n[400 + 16], n[400 + 64] = 1000, 20, 50
+    assert 4 < abuse.valley(z, n, 8.0) < 6
+    assert abuse.valley(z, n, -3.0) == 0.0
 
 
 def test_training_on_held_out_texts(spark):
@@ -205,12 +229,13 @@ def test_training_on_held_out_texts(spark):
         if case:
             s.insert(rng.randrange(3), rng.choice(bad).format(rng.choice(["moron", "clown", "pig", "halfwit"])))
         made.append((i, " ".join(s), int(case)))
-    df = spark.createDataFrame(made, "doc_id bigint, text string, unfit int")
-    rarity = abuse.rarity_of(*abuse.document_counts(df))
-    known = abuse.labelled(df.select("doc_id", "text"), df.select("doc_id", "unfit").where("doc_id < 200"))
-    model, threshold = abuse.train([*known["text"]], known["label"].to_numpy(), rarity)
-    out = {r["doc_id"]: r["score"] for r in abuse.score(df.select("doc_id", "text"), model).collect()}
-    assert all((out[i] >= threshold) == bool(c) for i, _, c in made[200:])
-    odd = spark.createDataFrame([(1, None), (2, ""), (3, "word " * 40_000)], "doc_id bigint, text string")
-    assert [r["score"] for r in abuse.score(odd, model).orderBy("doc_id").collect()][:2] == [0.0, 0.0]
-    assert abuse.train([], np.zeros(0), rarity)[1] == 0.5
+    df = spark.createDataFrame([(*m, rng.choice("ab" if m[2] else "aaab")) for m in made], "doc_id bigint, text string, unfit int, source string")
+    docs, labels = df.select("doc_id", "text", "source"), df.select("doc_id", "unfit").where("doc_id < 200")
+    odd = spark.createDataFrame([(1000, None, "a"), (1001, "", None), (1002, "word " * 40_000, None), (1003, "?!", "z")], docs.schema)
+    scored = abuse.score(docs.unionByName(odd), labels)
+    out = {r["doc_id"]: r["score"] for r in scored.collect()}
+    assert all((out[i] >= 0.5) == bool(c) for i, _, c in made[200:])
+    assert out[1000] == out[1001] == out[1003] == 0.0 and out[1002] < 0.5 and scored.columns == ["doc_id", "source", "score"]
+    for l in (labels.limit(0), labels.where("unfit = 1")):
+        assert {r["score"] for r in abuse.score(docs, l).collect()} == {0.0}
+    assert abuse.score(docs.limit(0), labels).count() == 0
