@@ -1,11 +1,13 @@
 """Sources mixed to target shares of all tokens.
 
 Each source's documents, in a pseudorandom order, form one stream of tokens that is cut into blocks of fixed length.
-The mixture is a row of slots, each for one block; slots are cut into output shards.  How many slots of a shard each
-source gets is a multinomial draw, conditional on the exact totals (a multivariate hypergeometric draw), so shards vary
-and the whole meets the targets.  The slots of a source are numbered through all shards; a keyed permutation of the
-numbers 0 .. blocks x max_repeats - 1 turns each into a block, so no block is used more than max_repeats times and all
-are used about equally.  Slots and blocks meet by an equi-join on (source, block).
+The mixture is a row of slots, each for one block; slots are cut into output shards of SHARD_SLOTS.  How many slots of a
+shard each source gets is a multinomial draw, conditional on the exact totals, so shards vary and the whole meets the
+targets.  The draws split a tree of shards: the slots of a node's left half are drawn from the node's, seeded by the node,
+so every task finds the counts of its own shards by itself, whatever their number.  The slots of a source are numbered
+through all shards; a keyed permutation of the numbers 0 .. blocks x max_repeats - 1 turns each into a block, so no block
+is used more than max_repeats times and all are used about equally.  Slots and blocks meet by an equi-join on
+(source, block).
 
 Without a wanted size the mixture is as large as the scarcest source allows.  NULL, unknown and empty sources and
 documents without tokens are not used; the shares of the other targets are scaled to sum 1.  Rows with the same doc_id
@@ -23,7 +25,9 @@ from pyspark.sql import functions as F
 
 from tamis.scratch import Scratch
 
-BLOCK_TOKENS, SHARD_SLOTS, MAX_SHARDS, MAX_SOURCES, BUCKET_ROWS = 256, 4096, 65_536, 10_000, 5_000
+BLOCK_TOKENS, SHARD_SLOTS, MAX_SOURCES, BUCKET_ROWS = 256, 4096, 10_000, 5_000
+#: From this many slots on, draws without replacement are by their limits: binomial for rare sources, else normal.
+MANY, RARE = 10**9, 10**6
 
 
 def permute(k: np.ndarray, size: int, key: int) -> np.ndarray:
@@ -76,45 +80,105 @@ def plan(sources: list[tuple[str, float, int, int]], slots: int | None) -> dict[
     return got
 
 
-def _slots(names: list[str], blocks: list[int], repeats: list[int], seed: int):
+def without_replacement(rng: np.random.Generator, good: int, bad: int, n: int) -> int:
+    """How many of ``n`` draws out of good + bad are good; every n - bad at least, n and good at most."""
+    all_ = good + bad
+    if n <= 0 or good <= 0:
+        return 0
+    if bad <= 0 or n >= all_:
+        return min(good, n)
+    if all_ < MANY:
+        return int(rng.hypergeometric(good, bad, n))
+    share = n / all_
+    if good < RARE:
+        k = int(rng.binomial(good, share))
+    elif n < RARE:
+        k = int(rng.binomial(n, good / all_))
+    else:
+        k = round(rng.normal(good * share, (good * share * (bad / all_) * (1 - share)) ** 0.5))
+    return min(max(k, n - bad, 0), n, good)
+
+
+def draw(totals: list[int], n: int, seed: tuple[int, ...]) -> list[int]:
+    """Counts per source of ``n`` slots drawn from ``totals`` without replacement."""
+    rng, left, out = np.random.default_rng(seed), sum(totals), []
+    for t in totals:
+        left -= t
+        out.append(without_replacement(rng, t, left, n))
+        n -= out[-1]
+    return out
+
+
+def shard_counts(totals: list[int], shards: int, first: int, last: int, seed: int) -> Iterator[tuple[int, list[int], list[int]]]:
+    """(shard, slots of each source before it, slots of each source in it) of the shards first .. last - 1."""
+    slots = sum(totals)
+    at = lambda shard: slots * shard // shards
+    todo = [(0, shards, totals, [0] * len(totals))]
+    while todo:
+        lo, hi, own, before = todo.pop()
+        if hi <= first or lo >= last:
+            continue
+        if hi - lo == 1:
+            yield lo, before, own
+            continue
+        middle = (lo + hi) // 2
+        left = draw(own, at(middle) - at(lo), (seed, lo, hi))
+        todo.append((middle, hi, [a - b for a, b in zip(own, left)], [a + b for a, b in zip(before, left)]))
+        todo.append((lo, middle, left, before))
+
+
+def _slots(names: list[str], totals: list[int], blocks: list[int], repeats: list[int], shards: int, seed: int):
+    """Shard numbers -> (shard, slot, source, block); the sources of a shard's slots are shuffled."""
+
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
-            for shard, s, start, n in pdf[["shard", "s", "start", "n"]].itertuples(index=False, name=None):
-                k = permute(np.arange(start, start + n), blocks[s] * repeats[s], seed * 1_000_003 + s)
-                yield pd.DataFrame({"shard": shard, "source": names[s], "block": k % blocks[s]})
+            ids = np.sort(pdf["id"].to_numpy())
+            for run_ in np.split(ids, np.flatnonzero(np.diff(ids) != 1) + 1) if len(ids) else ():
+                for shard, before, own in shard_counts(totals, shards, int(run_[0]), int(run_[-1]) + 1, seed):
+                    s = np.repeat(np.arange(len(own)), own)
+                    block = [permute(np.arange(b, b + n), blocks[i] * repeats[i], seed * 1_000_003 + i) % blocks[i] for i, (b, n) in enumerate(zip(before, own)) if n]
+                    order = np.random.default_rng((seed, shard)).permutation(len(s))
+                    block = np.concatenate(block) if block else np.zeros(0, np.int64)
+                    yield pd.DataFrame({"shard": shard, "slot": np.arange(len(s)), "source": np.array(names, object)[s[order]], "block": block[order]})
 
     return run
 
 
-def mix(docs: DataFrame, targets: DataFrame, total_tokens: int | None = None, seed: int = 0, scratch: Scratch | None = None) -> tuple[DataFrame, DataFrame]:
-    """docs (doc_id, source, tokens), targets (source, target_share, max_repeats) -> two tables:
-
-    (doc_id, source, uses, used_tokens): chosen documents; ``uses`` is the most times any part of it is used;
-    (source, target_share, actual_share, used_tokens, docs): the shares reached, one row per target.
-    """
+def planned(docs: DataFrame, targets: DataFrame, total_tokens: int | None, seed: int, scratch: Scratch) -> tuple[DataFrame, DataFrame]:
+    """The used documents with their places in the streams, and the slots (shard, slot, source, block) of the mixture."""
     spark = docs.sparkSession
-    scratch = scratch or Scratch(spark)
     rows = targets.select("source", "target_share", "max_repeats").where("source IS NOT NULL AND target_share > 0 AND max_repeats > 0").limit(MAX_SOURCES + 1).collect()
     if len(rows) > MAX_SOURCES:
         raise ValueError(f"more than {MAX_SOURCES} sources")
     names = F.array(*[F.lit(r["source"]) for r in rows]).cast("array<string>") if rows else F.array().cast("array<string>")
     used = docs.select("doc_id", "source", F.col("tokens").cast("bigint").alias("tokens")).where(F.array_contains(names, F.col("source")) & (F.col("tokens") > 0))
-    placed = scratch.cut(stream(scratch.cut(used), scratch))
-    size = {r["source"]: r["t"] for r in placed.groupBy("source").agg(F.sum("tokens").alias("t")).collect()}
+    used = scratch.cut(used)
+    raw = scratch.path
+    placed = scratch.cut(stream(used, scratch))
+    scratch.drop(raw)
+    size = {r["source"]: r["t"] for r in placed.groupBy("source").agg(F.sum("tokens").alias("t")).collect()}  # a row per target
     known = [(r["source"], r["target_share"], r["max_repeats"], -(-size[r["source"]] // BLOCK_TOKENS)) for r in sorted(rows, key=lambda r: r["source"]) if size.get(r["source"])]
     got = plan(known, None if total_tokens is None else -(-total_tokens // BLOCK_TOKENS))
-    # shard counts: at most MAX_SHARDS rows of one number per source
-    total = sum(got.values())
-    shards = min(MAX_SHARDS, -(-total // SHARD_SLOTS))
-    rng, left, start, drawn = np.random.default_rng(seed), np.array([got[k[0]] for k in known], np.int64), np.zeros(len(known), np.int64), []
-    for i in range(shards):
-        n = int(left.sum()) // (shards - i)
-        draw = rng.multivariate_hypergeometric(left, n, method="marginals") if len(left) > 1 else np.array([n])
-        drawn += [(i, s, int(start[s]), int(draw[s])) for s in range(len(known)) if draw[s]]
-        left, start = left - draw, start + draw
-    counts = spark.createDataFrame(pd.DataFrame(drawn, columns=["shard", "s", "start", "n"]).astype("int64"), "shard bigint, s bigint, start bigint, n bigint") if drawn else spark.createDataFrame([], "shard bigint, s bigint, start bigint, n bigint")
-    run = _slots([k[0] for k in known], [k[3] for k in known], [k[2] for k in known], seed)
-    slots = counts.repartition("shard", "s").mapInPandas(run, "shard bigint, source string, block bigint")
+    totals = [got[k[0]] for k in known]
+    shards = -(-sum(totals) // SHARD_SLOTS)
+    run = _slots([k[0] for k in known], totals, [k[3] for k in known], [k[2] for k in known], shards, seed)
+    tasks = min(max(shards, 1), max(spark.sparkContext.defaultParallelism, min(20_000, shards // 64)))
+    return placed, spark.range(0, shards, 1, tasks).mapInPandas(run, "shard bigint, slot bigint, source string, block bigint")
+
+
+def ordered_slots(docs: DataFrame, targets: DataFrame, total_tokens: int | None = None, seed: int = 0, scratch: Scratch | None = None) -> DataFrame:
+    """(shard, slot, source, block): which block of which source's stream stands in each slot of the mixture."""
+    return planned(docs, targets, total_tokens, seed, scratch or Scratch(docs.sparkSession))[1]
+
+
+def mix(docs: DataFrame, targets: DataFrame, total_tokens: int | None = None, seed: int = 0, scratch: Scratch | None = None) -> tuple[DataFrame, DataFrame]:
+    """docs (doc_id, source, tokens), targets (source, target_share, max_repeats) -> two tables:
+
+    (doc_id, source, uses, used_tokens): chosen documents; ``uses`` is the most times any part of it is used;
+    (source, target_share, actual_share, used_tokens, docs): the shares reached, one row per target.
+    """
+    scratch = scratch or Scratch(docs.sparkSession)
+    placed, slots = planned(docs, targets, total_tokens, seed, scratch)
     times = slots.groupBy("source", "block").agg(F.count("*").alias("times"))
     first, last = F.floor(F.col("start") / BLOCK_TOKENS), F.floor((F.col("start") + F.col("tokens") - 1) / BLOCK_TOKENS)
     parts = placed.select("*", F.explode(F.sequence(first, last)).alias("block"))

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tamis.llm import abuse, components, formatting, lookalikes, mixing, packing, simjoin, survivors, tokens
-from tamis.scratch import Scratch
+from tamis.scratch import Scratch, spread
 from tamis.tables import live_questions, table
 
 # ---------------------------------------------------------------- problem 1
@@ -118,26 +118,34 @@ SQL: dict[str, str] = {}
 # ---------------------------------------------------------------- problems 7 and 8
 
 
+def _sized(spark: SparkSession, sf_dir: str, *columns: str) -> DataFrame:
+    return tokens.with_tokens(spread(table(spark, sf_dir, "documents").select("doc_id", *columns, "text")))
+
+
 def p7_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Container and fill of every document, or piece of one, for every capacity."""
-    docs = tokens.with_tokens(table(spark, sf_dir, "documents").select("doc_id", "text"))
-    return packing.pack(docs, table(spark, sf_dir, "pack_sizes"))
+    return packing.pack(_sized(spark, sf_dir), table(spark, sf_dir, "pack_sizes"))[0]
 
 
-def _mixed(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
-    docs = tokens.with_tokens(table(spark, sf_dir, "documents").select("doc_id", "source", "text"))
-    return mixing.mix(docs, table(spark, sf_dir, "mix_targets"))
+def p7_fill(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Per capacity: containers by best fit alone and in the end, against the bound, and the fill reached."""
+    return packing.pack(_sized(spark, sf_dir), table(spark, sf_dir, "pack_sizes"))[1]
 
 
 def p8_mixture(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _mixed(spark, sf_dir)[0]
+    return mixing.mix(_sized(spark, sf_dir, "source"), table(spark, sf_dir, "mix_targets"))[0]
 
 
 def p8_shares(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _mixed(spark, sf_dir)[1]
+    return mixing.mix(_sized(spark, sf_dir, "source"), table(spark, sf_dir, "mix_targets"))[1]
+
+
+def p8_slots(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The mixture in order: the block of a source's stream in each slot of each output shard."""
+    return mixing.ordered_slots(_sized(spark, sf_dir, "source"), table(spark, sf_dir, "mix_targets"))
 
 
-QUERIES |= {"p7_packing": p7_packing, "p8_mixture": p8_mixture, "p8_shares": p8_shares}
+QUERIES |= {"p7_packing": p7_packing, "p7_fill": p7_fill, "p8_mixture": p8_mixture, "p8_shares": p8_shares, "p8_slots": p8_slots}
 
 # ---------------------------------------------------------------- problem 9
 

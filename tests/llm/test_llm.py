@@ -154,16 +154,38 @@ def test_packing(spark):
     rng = random.Random(6)
     docs = [(i, rng.randrange(1, 90)) for i in range(300)] + [(500, 0), (501, None), (502, 1005), (502, 1005), (503, 100)]
     df, sizes = spark.createDataFrame(docs, "doc_id bigint, tokens bigint"), spark.createDataFrame([(1, 100), (2, 400)], "pack_id int, capacity int")
-    out = packing.pack(df, sizes).toPandas()
+    placed, report = packing.pack(df, sizes)
+    out = placed.toPandas()
+    assert {r["pack_id"]: r["containers"] for r in report.collect()} == out.groupby("pack_id")["container"].nunique().to_dict()
     for pack_id, cap in ((1, 100), (2, 400)):
         p = out[out["pack_id"] == pack_id]
         assert p["tokens"].sum() == sum(t or 0 for _, t in docs)
-        # the whole containers of the repeated document bear one name
-        assert p[~p["container"].str.startswith("w")].groupby("container")["tokens"].sum().max() <= cap
+        assert p.groupby("container")["tokens"].sum().max() <= cap
+        assert p.groupby("container")["fill"].first().max() <= 1 and len(p) == sum(max(1, -(-(t or 0) // cap)) for _, t in docs)
         assert {*p["doc_id"]} == {d for d, _ in docs}
         whole = p["container"].str.startswith("w")
         assert p[~whole]["container"].nunique() <= 1.1 * p[~whole]["tokens"].sum() / cap + 2
-    assert packing.pack(df.limit(0), sizes).count() == 0
+    assert [x.count() for x in packing.pack(df.limit(0), sizes)] == [0, 0]
+
+
+def test_packing_in_rounds(spark, monkeypatch):
+    monkeypatch.setattr(packing, "BINS", 6)
+    rng = random.Random(2)
+    docs = [(i, rng.randrange(20, 70)) for i in range(400)] + [(7777, 40)] * 300
+    placed, report = packing.pack(spark.createDataFrame(docs, "doc_id bigint, tokens bigint"), spark.createDataFrame([(1, 100)], "pack_id int, capacity int"))
+    out, r = placed.toPandas(), report.first()
+    assert len(out) == 700 and out.groupby("container")["tokens"].sum().max() <= 100
+    assert r["containers"] == out["container"].nunique() <= r["best_fit"] and r["searched"] > 0 and {*out["container"].str[0]} >= {"0", "1"}
+
+
+def test_search_improves_a_poor_start():
+    sizes = [50, 30, 20, 60, 40] * 12 + [35, 33, 32] * 6
+    n = packing.least_bins(sizes, 100)
+    bad = [[i] for i in range(len(sizes))]
+    found = bad
+    for k in range(6):
+        found = packing.evolve(sizes, 100, [found], random.Random(k))
+    assert n <= len(found) < len(bad) and sorted(i for b in found for i in b) == [*range(len(sizes))]
 
 
 def test_permutation():
@@ -181,10 +203,32 @@ def test_mixture(spark):
     assert most["a"] == 1 and most["b"] <= 3
     share = {r["source"]: r["actual_share"] for r in shares.collect()}
     assert abs(share["a"] - 5 / 9) < 0.01 and abs(share["b"] - 4 / 9) < 0.01 and share["none"] == 0
+    slots = [tuple(r) for r in mixing.ordered_slots(df, t).collect()]
+    assert len({x[:2] for x in slots}) == len(slots) and {x[2] for x in slots} == {"a", "b"}
     empty, s = mixing.mix(df.limit(0), t)
     assert empty.count() == 0 and s.count() == 3
 
 
+def test_shard_counts_of_two_thousand_million_blocks():
+    totals = [1_999_000_000, 700_000, 299_999, 1, 0]
+    shards, slots = -(-sum(totals) // mixing.SHARD_SLOTS), sum(totals)
+    for lo, hi in ((0, 40), (shards // 3, shards // 3 + 40), (shards - 40, shards)):
+        got = [*mixing.shard_counts(totals, shards, lo, hi, 5)]
+        assert [g[0] for g in got] == [*range(lo, hi)]
+        for (i, before, own), after in zip(got, [*[g[1] for g in got[1:]], None]):
+            assert sum(own) == slots * (i + 1) // shards - slots * i // shards and min(own) >= 0
+            assert after is None or [a + b for a, b in zip(before, own)] == after
+            assert 4000 < own[0] <= 4096
+    assert [a + b for a, b in zip(*got[-1][1:])] == totals and [*mixing.shard_counts(totals, shards, 7, 8, 5)] == [[*mixing.shard_counts(totals, shards, 0, 40, 5)][7]]
+
+
+@pytest.mark.parametrize("totals", [[5, 3, 0, 9], [1], [4096, 4096]])
+def test_shard_counts_add_up(totals):
+    for shards in (1, 2, 3, min(17, sum(totals))):
+        got = [*mixing.shard_counts(totals, shards, 0, shards, 1)]
+        assert [sum(x) for x in zip(*[g[2] for g in got])] == totals
+
+
 # ------------------------------------------------------------- abuse
 
 
