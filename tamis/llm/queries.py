@@ -39,19 +39,31 @@ def merged_members(spark: SparkSession, sf_dir: str, scratch: Scratch) -> DataFr
     return scratch.cut(flat.select("group_id", "id", "source", survivors.rank_key().alias("rank"), *MERGED))
 
 
-def p1_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+def p1_survivors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The model's own survivors: per field the first member whose value it judges true, and the first with any value."""
     scratch = Scratch(spark)
     members = merged_members(spark, sf_dir, scratch)
-    judged = survivors.judge(members, MERGED, scratch)
-    s = survivors.survivors(members, judged, MERGED)
-    return s.select("group_id", "best_id", "explanation_id", F.col("correct_text_id").alias("answer_id"))
+    return survivors.survivors(members, survivors.judge(members, MERGED, scratch), MERGED)
+
+
+def p1_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The survivors by the model, checked against the problem's rule: the first member with any value is the right one."""
+    s = p1_survivors(spark, sf_dir)
+    right = lambda f, name: F.when(F.col(f"{f}_id") == F.col(f"{f}_first"), F.col(f"{f}_id")).otherwise(F.col(f"{f}_first")).alias(name)
+    return s.select("group_id", "best_id", right("explanation", "explanation_id"), right("correct_text", "answer_id"))
+
+
+def p1_changed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Groups, and those where the model passed over the value that ranks first, which the check of p1_found undoes."""
+    s = p1_survivors(spark, sf_dir)
+    return s.agg(F.count("*").alias("groups"), *[F.count_if(F.col(f"{f}_id") != F.col(f"{f}_first")).alias(f"{f}_changed") for f in MERGED])
 
 
 def p1_values(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Every value asserted for a group's field, the member it first stands in, its posterior, and whether it is kept."""
+    """Every value asserted for a group's field, the member it first stands in, its posterior, and whether it is retained."""
     scratch = Scratch(spark)
     judged = survivors.judge(merged_members(spark, sf_dir, scratch), MERGED, scratch)
-    return judged.select("group_id", "field", F.col("first.id").alias("member_id"), F.round("posterior", 6).alias("posterior"), (F.col("posterior") >= 0.5).alias("kept"))
+    return judged.select("group_id", "field", F.col("first.id").alias("member_id"), F.round(1 / (1 + F.exp(F.least(-F.col("odds"), F.lit(700.0)))), 6).alias("posterior"), (F.col("odds") >= 0).alias("kept"))
 
 
 # ---------------------------------------------------------------- problem 2
@@ -112,7 +124,7 @@ def p5_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simjoin.near_pairs(question_sets(spark, sf_dir), 0.7)
 
 
-QUERIES = {"p1_found": p1_found, "p1_values": p1_values, "p2_found": p2_found, "p3_found": p3_found, "p4_found": p4_found, "p5_found": p5_found}
+QUERIES = {"p1_found": p1_found, "p1_values": p1_values, "p1_survivors": p1_survivors, "p1_changed": p1_changed, "p2_found": p2_found, "p3_found": p3_found, "p4_found": p4_found, "p5_found": p5_found}
 SQL: dict[str, str] = {}
 
 # ---------------------------------------------------------------- problems 7 and 8

@@ -115,7 +115,7 @@ def test_survivors(spark):
     df = spark.createDataFrame(m, "group_id bigint, id bigint, source string, at string, quality_score double, explanation string, correct_text string")
     df = df.withColumn("corrected_at", F.to_timestamp("at")).select("group_id", "id", "source", survivors.rank_key().alias("rank"), "explanation", "correct_text")
     judged = survivors.judge(df, ["explanation", "correct_text"], Scratch(spark))
-    assert rows(survivors.survivors(df, judged, ["explanation", "correct_text"])) == [(1, 2, 3, 2), (4, 4, -1, -1)]
+    assert rows(survivors.survivors(df, judged, ["explanation", "correct_text"]).drop("explanation_first", "correct_text_first")) == [(1, 2, 3, 2), (4, 4, -1, -1)]
     assert rows(survivors.survivors(df.limit(0), survivors.judge(df.limit(0), ["explanation"], Scratch(spark)), ["explanation"])) == []
 
 
@@ -125,12 +125,25 @@ def test_model_tells_good_sources_from_bad(spark):
         said += [(g, "f", 1, s) for s in ("good1", "good2", "good3") if rng.random() < 0.95]
         said += [(g, "f", 100 + rng.randrange(50), "bad")]
     claims = spark.createDataFrame(said, "group_id bigint, field string, value bigint, source string").withColumn("first", F.struct(F.lit(1).alias("id")))
-    p = {(r["group_id"], r["value"]): r["posterior"] for r in survivors.infer(claims, Scratch(spark)).collect()}
+    p = {(r["group_id"], r["value"]): 1 / (1 + np.exp(-r["odds"])) for r in survivors.infer(claims, Scratch(spark)).collect()}
     right = [v for (g, x), v in p.items() if x == 1]
     wrong = [v for (g, x), v in p.items() if x != 1]
     assert np.mean(right) > 0.9 > 0.3 > np.mean(wrong)
 
 
+def test_many_sources_of_different_values(spark):
+    said = [(1, "f", i, f"s{i}") for i in range(1500)]
+    claims = spark.createDataFrame(said, "group_id bigint, field string, value bigint, source string").withColumn("first", F.struct(F.col("value").alias("id")))
+    judged = survivors.infer(claims, Scratch(spark))
+    assert judged.where("odds >= 0").count() == 1500
+    members = claims.select("group_id", F.struct(F.col("value").alias("id")).alias("rank"))
+    assert rows(survivors.survivors(members, judged, ["f"])) == [(1, 0, 0, 0)]
+    none = judged.withColumn("odds", F.lit(-1e9))
+    assert rows(survivors.survivors(members, none, ["f"])) == [(1, 0, 0, 0)]
+    late = judged.withColumn("odds", F.when(F.col("value") > 7, 1.0).otherwise(-1.0))
+    assert rows(survivors.survivors(members, late, ["f"])) == [(1, 0, 8, 0)]
+
+
 # ------------------------------------------------------------- packing and mixing
 
 
