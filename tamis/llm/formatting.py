@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tamis.functions.text import WS, hash128, stem
+from tamis.scratch import Scratch
 
 _SIGNS = r"+*/=<>^%\-"
 IGNORED = (
@@ -38,17 +39,19 @@ def keyed(df: DataFrame, scope: str, text: str = "question_text", options: str =
     return df.select(F.col(scope).alias("scope"), F.col(id_).alias("id"), canonical(F.col(text), F.col(options)).alias("canon"))
 
 
-def copies(df: DataFrame, scope: str, **columns: str) -> DataFrame:
-    """(scope, first_id, copies): one row per canonical record of a scope."""
+def copies(df: DataFrame, scope: str, scratch: Scratch | None = None, **columns: str) -> DataFrame:
+    """(scope, first_id, copies): one row per canonical record of a scope.  The texts are read again only after a clash."""
+    scratch = scratch or Scratch(df.sparkSession)
     k = keyed(df, scope, **columns)
     h = k.select("scope", "id", *hash128(F.col("canon")), F.xxhash64(F.lit(3), "canon", F.length("canon")).alias("h3"))
     g = h.groupBy("scope", "h1", "h2").agg(
         F.min("id").alias("first_id"), F.count("*").alias("copies"), F.min("h3").alias("lo"), F.max("h3").alias("hi")
     )
     out = ("scope", "first_id", "copies")
-    clash = g.where("lo <> hi").select("scope", "h1", "h2")
-    if clash.isEmpty():
+    g = scratch.cut(g, clashes=F.count_if(F.col("lo") != F.col("hi")))
+    if not scratch.last["clashes"]:
         return g.select(*out)
+    clash = g.where("lo <> hi").select("scope", "h1", "h2")
     again = k.withColumns(dict(zip(("h1", "h2"), hash128(F.col("canon"))))).join(clash, ["scope", "h1", "h2"], "left_semi")
     exact = again.groupBy("scope", "canon").agg(F.min("id").alias("first_id"), F.count("*").alias("copies"))
     return g.where("lo = hi").select(*out).unionByName(exact.select(*out))
