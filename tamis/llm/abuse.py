@@ -29,6 +29,7 @@ NULL and empty texts score 0; NULL sources are a source.  Without labels of both
 
 from __future__ import annotations
 
+import pickle
 import re
 import unicodedata
 from array import array
@@ -38,6 +39,7 @@ from dataclasses import dataclass, field
 import numpy as np
 import pandas as pd
 import xxhash
+import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -221,6 +223,17 @@ class Corpus:
     rarity: np.ndarray = field(init=False)
 
     def __post_init__(self) -> None:
+        self.count, self.suspect = self.count.astype(np.float32), self.suspect.astype(np.float32)
+        self.rarities()
+
+    def __getstate__(self) -> dict:
+        return {k: v for k, v in self.__dict__.items() if k != "rarity"}
+
+    def __setstate__(self, state: dict) -> None:
+        self.__dict__ |= state
+        self.rarities()
+
+    def rarities(self) -> None:
         most = np.log(max(2, self.documents))
         self.rarity = np.where(self.count > 1, 1 - np.log(np.maximum(self.count, 1)) / most, 0).clip(0, 1).astype(np.float32)
 
@@ -252,7 +265,7 @@ class Machine:
         linear = np.bincount(b.holder, self.w[b.term] * b.value * rarity[b.term], len(b.first))
         z = self.bias + np.add.reduceat(linear[b.word], b.starts) + evidence @ self.lean
         z += np.bincount(b.pair_sentence, self.w[b.pair] * rarity[b.pair] * PAIR_VALUE, len(z))
-        vx = (self.v[b.first] * rarity[b.first, None])[b.word]
+        vx = (self.v[b.first] * rarity[b.first, None])[b.word]  # words are the first terms
         s = np.add.reduceat(vx, b.starts)
         return z + 0.5 * ((s * s).sum(1) - np.add.reduceat((vx * vx).sum(1), b.starts))
 
@@ -289,8 +302,9 @@ def fit(b: Bags, labels: np.ndarray, rarity: np.ndarray, evidence: np.ndarray, f
             one[i] = 0.9 * one[i] + 0.1 * grad
             two[i] = 0.99 * two[i] + 0.01 * grad**2
             par[i] = par[i] - rate * (one[i] / (1 - 0.9**step)) / (np.sqrt(two[i] / (1 - 0.99**step)) + 1e-3)
-    w, v = np.zeros(SIZE, np.float32), np.zeros((SIZE, factors), np.float32)
-    w[terms], v[terms] = par[0], par[1]
+    w, v = np.zeros(SIZE, np.float32), np.zeros((PARTS, factors), np.float32)
+    word = terms < PARTS
+    w[terms], v[terms[word]] = par[0], par[1][word]
     return Machine(float(par[3][0]), w, v, par[2].astype(np.float32))
 
 
@@ -330,6 +344,15 @@ def _sources(pdf: pd.DataFrame, source: str) -> list:
     return [s if isinstance(s, str) else None for s in pdf[source]]
 
 
+def packed(x: object) -> bytes:
+    """Compressed, as most terms of a small corpus are unused and every executor keeps a copy on disk."""
+    return zstandard.compress(pickle.dumps(x, pickle.HIGHEST_PROTOCOL))
+
+
+def unpacked(x: bytes) -> object:
+    return pickle.loads(zstandard.decompress(x))
+
+
 def _gather(rows: DataFrame, measures: list[str]) -> dict[str, np.ndarray]:
     """Sums per term over all tasks; each task sends at most 2**BITS + 1 rows, of which -1 holds totals."""
     got = rows.groupBy("term").agg(*[F.sum(m).alias(m) for m in measures]).toPandas()
@@ -363,10 +386,10 @@ def corpus_counts(docs: DataFrame, ratio: dict[str, float], text: str = "text",
 
 def add_beliefs(docs: DataFrame, corpus: Corpus, model: Machine, text: str = "text", source: str = "source") -> None:
     """Sentences of each term and the sum of their probabilities, over all documents."""
-    sent = docs.sparkSession.sparkContext.broadcast((corpus, model))  # about 2**BITS * 6 numbers
+    sent = docs.sparkSession.sparkContext.broadcast(packed((corpus, model)))  # 2**BITS * 3.5 numbers
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        corpus, model = sent.value
+        corpus, model = unpacked(sent.value)
         lexicon, n, s, seen, total = Lexicon(), np.zeros(SIZE), np.zeros(SIZE), 0, 0.0
         for pdf in batches:
             for part in chunks(pdf, text):
@@ -377,7 +400,8 @@ def add_beliefs(docs: DataFrame, corpus: Corpus, model: Machine, text: str = "te
         yield _rows({"n": n, "s": s}, {"n": seen, "s": total})
 
     got = _gather(docs.select(text, source).mapInPandas(run, "term int, n double, s double"), ["n", "s"])
-    corpus.sentences, corpus.belief = got["n"][:-1], got["s"][:-1]
+    sent.destroy()
+    corpus.sentences, corpus.belief = got["n"][:-1].astype(np.float32), got["s"][:-1].astype(np.float32)
     corpus.mean = float(np.clip(got["s"][-1] / max(1.0, got["n"][-1]), 1e-6, 0.5))
 
 
@@ -430,10 +454,10 @@ def log_odds(docs: DataFrame, judge: Judge | None, text: str = "text", source: s
     rest = [f for f in docs.schema.fields if f.name != text]
     if judge is None:
         return docs.drop(text).withColumn("z", F.lit(None).cast("double"))
-    sent = docs.sparkSession.sparkContext.broadcast(judge)  # about 2**BITS * 13 numbers
+    sent = docs.sparkSession.sparkContext.broadcast(packed(judge))  # 2**BITS * 7 numbers
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        judge, lexicon = sent.value, Lexicon()
+        judge, lexicon = unpacked(sent.value), Lexicon()
         for pdf in batches:
             for part in chunks(pdf, text):
                 z = judge.texts(lexicon, _texts(part, text), _sources(part, source))
