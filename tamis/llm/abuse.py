@@ -355,10 +355,10 @@ def unpacked(x: bytes) -> object:
 
 def _gather(rows: DataFrame, measures: list[str]) -> dict[str, np.ndarray]:
     """Sums per term over all tasks; each task sends at most 2**BITS + 1 rows, of which -1 holds totals."""
-    got = rows.groupBy("term").agg(*[F.sum(m).alias(m) for m in measures]).toPandas()
-    out = {m: np.zeros(SIZE + 1) for m in measures}
+    got = rows.groupBy("term").agg(*[F.sum(m).alias(m) for m in measures]).toArrow()
+    at, out = got["term"].to_numpy(), {m: np.zeros(SIZE + 1) for m in measures}
     for m in measures:
-        out[m][got["term"]] = got[m]
+        out[m][at] = got[m].to_numpy()
     return out
 
 
