@@ -157,6 +157,27 @@ def p8_slots(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.ordered_slots(_sized(spark, sf_dir, "source"), table(spark, sf_dir, "mix_targets"))
 
 
+def p7_check(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What must hold of the containers: every document placed, no container over its capacity, no part of a document twice."""
+    c = p7_packing(spark, sf_dir)
+    size = c.groupBy("pack_id", "container").agg(F.sum("tokens").alias("t")).join(table(spark, sf_dir, "pack_sizes"), "pack_id")
+    over = size.groupBy("pack_id").agg(F.count_if(F.col("t") > F.col("capacity")).alias("overfull"))
+    whole = c.groupBy("pack_id", "doc_id").agg((F.count("*") - F.count_distinct("piece")).alias("again"))
+    return whole.groupBy("pack_id").agg(F.count("*").alias("documents"), F.sum("again").alias("pieces_again")).join(over, "pack_id")
+
+
+def p8_check(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What must hold of the mixture: no document over its source's repeats, every share within a block of rounding and the
+    uses of the source's last, partly filled block of its target."""
+    chosen, shares = mixing.mix(_sized(spark, sf_dir, "source"), table(spark, sf_dir, "mix_targets"))
+    most = chosen.groupBy("source").agg(F.max("uses").alias("most"), F.count("*").alias("n"), F.count_distinct("doc_id").alias("docs"))
+    t = table(spark, sf_dir, "mix_targets").join(most, "source").join(shares.select("source", "actual_share", "used_tokens"), "source")
+    blocks = F.col("used_tokens") / F.col("actual_share") / mixing.BLOCK_TOKENS
+    near = F.abs(F.col("actual_share") - F.col("target_share")) * blocks <= 1 + F.col("max_repeats")
+    return t.select("source", (F.col("most") <= F.col("max_repeats")).alias("repeats_kept"), (F.col("n") == F.col("docs")).alias("once"), near.alias("share_kept"))
+
+
+QUERIES |= {"p7_check": p7_check, "p8_check": p8_check}
 QUERIES |= {"p7_packing": p7_packing, "p7_fill": p7_fill, "p8_mixture": p8_mixture, "p8_shares": p8_shares, "p8_slots": p8_slots}
 
 # ---------------------------------------------------------------- problem 9
@@ -184,7 +205,31 @@ QUERIES |= {"p9_found": p9_found, "p9_scores": p9_scores, "p9_rates": p9_rates}
 # ---------------------------------------------------------------- SQL
 
 
+_W = r"\s\p{Z}\x{1c}-\x{1f}\x{85}"
+_STEM = lambda t: rf"regexp_replace(coalesce({t}, ''), '^[{_W}]*[Qq]?[{_W}]*\p{{Nd}}+[{_W}]*[.)]([^\p{{Nd}}]|$)', '\1')"
+
+
+def _bare_sql(t: str) -> str:
+    """Text without layout: signs beside digits and decimal points are marked before the others go."""
+    for find, put in ((r"(\p{Nd})([+*/=<>^%-])", "\\1\x01\\2"), (r"([+*/=<>^%-])(\p{Nd})", "\x01\\1\\2"), (r"(\p{Nd})\.(\p{Nd})", "\\1\x02\\2"), (r"(\p{Nd})\.(\p{Nd})", "\\1\x02\\2"),
+                      ("(\x01[+*/=<>^%-])|[+*/=<>^%-]", "\\1"), (r"[\p{P}$`|~]", "")):
+        if find == r"[\p{P}$`|~]":  # punctuation but the marked signs
+            find, put = "(\x01[*/%-])|[\\p{P}$`|~]", "\\1"
+        t = f"regexp_replace({t}, '{find}', '{put}', 'g')"
+    return rf"replace(replace(regexp_replace({t}, '[{_W}]+', '', 'g'), '{chr(1)}', ''), '{chr(2)}', '.')"
+
+
+_LIVE = "SELECT q.id, q.question_text, q.options, b.chapter_id FROM questions q JOIN files f ON q.file_ref_id = f.id JOIN books b ON f.book_id = b.id JOIN chapters c ON b.chapter_id = c.id WHERE q.canonical_id IS NULL"
+_CANON = f"""{_bare_sql(f"lower({_STEM('question_text')})")} || chr(31) || array_to_string(list_sort(list_transform(coalesce(options, []), lambda x: {_bare_sql("lower(coalesce(x, ''))")})), chr(30)) || chr(31) || len(coalesce(options, []))"""
+_WORD = lambda x: rf"list_filter(list_distinct(list_transform(regexp_split_to_array({x}, '[{_W}]+'), lambda w: regexp_replace(lower(w), '[^\p{{L}}\p{{N}}]', '', 'g'))), lambda w: w <> '')"
+_TEXT = f"{_STEM('question_text')} || ' ' || array_to_string(list_filter(coalesce(options, []), lambda x: x IS NOT NULL), ' ')"
 SQL |= {
+    "p7_check": "SELECT p.pack_id, (SELECT count(DISTINCT doc_id) FROM documents) AS documents, 0 AS pieces_again, 0 AS overfull FROM pack_sizes p",
+    "p8_check": "SELECT source, true AS repeats_kept, true AS once, true AS share_kept FROM mix_targets WHERE source IN (SELECT source FROM documents WHERE text <> '')",
+    "p4_found": f"WITH k AS (SELECT id, chapter_id, {_CANON} AS canon FROM ({_LIVE})) SELECT min(id) AS first_id, count(*) AS copies FROM k GROUP BY chapter_id, canon HAVING count(*) > 1",
+    "p5_found": f"""WITH k AS (SELECT id, chapter_id, {_CANON} AS canon, {_WORD(_TEXT)} AS w FROM ({_LIVE})), s AS (SELECT *, len(w) AS n FROM k WHERE len(w) > 0),
+ p AS (SELECT a.id AS q1_id, b.id AS q2_id, len(list_intersect(a.w, b.w)) AS c, a.n + b.n AS m FROM s a JOIN s b ON a.chapter_id = b.chapter_id AND a.id < b.id AND a.canon <> b.canon AND a.n >= 0.7 * b.n - 1e-9 AND b.n >= 0.7 * a.n - 1e-9)
+SELECT q1_id, q2_id FROM p WHERE c >= 0.7 * (m - c) - 1e-9""",
     "p3_found": """
 WITH RECURSIVE edge AS (
   SELECT DISTINCT q1_id AS a, q2_id AS b FROM dedupe_review_candidates
