@@ -31,8 +31,10 @@ we us our you your i me my
 #: Invisible characters, dashes and minus signs.
 INVISIBLE = "­​‌‍‎‏⁠﻿"
 DASHES = "‐‑‒–—―−"
+#: Typographic quotes, primes and the ellipsis, which count as ASCII punctuation.
+QUOTES = "‘’‚‛′‵“”„‟″‶…"
 CONFLICT, UNANSWERED = "__answer_conflict__", "__unanswered__"
-STRICT, LOOSE = rf"[^\p{{L}}\p{{N}}{WS}+*/=<>^%~\-]", rf"[\x{{00}}-\x{{7f}}&&[^a-z0-9{WS}+*/=<>^%~\-]]"
+STRICT, LOOSE = rf"[^\p{{L}}\p{{N}}{WS}+*/=<>^%~\-]", rf"[\x{{00}}-\x{{7f}}&&[^a-z0-9{WS}+*/=<>^%~\-]]|[{QUOTES}]"
 
 
 def _compose(text: pd.Series) -> pd.Series:
@@ -44,6 +46,17 @@ def nfc(text: Column | str) -> Column:
     return F.pandas_udf(_compose, "string")(text)
 
 
+def _composed(text: pd.Series, answer: pd.Series, options: pd.Series) -> pd.DataFrame:
+    one = lambda t: "" if t is None else t if t.isascii() else unicodedata.normalize("NFC", t)
+    every = lambda o: None if o is None else [one(x) for x in o]
+    return pd.DataFrame({"text": _compose(text), "answer": _compose(answer), "options": options.map(every)})
+
+
+def composed(text: Column | str, answer: Column | str, options: Column | str) -> Column:
+    """Composed (text, answer, options) by one call; a NULL option is an empty one."""
+    return F.pandas_udf(_composed, "text string, answer string, options array<string>")(text, answer, options)
+
+
 def _plain(text: Column, dropped: str) -> Column:
     t = F.regexp_replace(F.coalesce(text, F.lit("")), f"[{INVISIBLE}]", "")
     t = F.lower(F.translate(t, DASHES, "-" * len(DASHES)))
@@ -68,10 +81,17 @@ def strip_number(text: Column) -> Column:
     return F.regexp_replace(F.coalesce(text, F.lit("")), rf"^[{WS}]*\p{{Nd}}+[{WS}]*[.)][{WS}]*", "")
 
 
+def canonical_stem(text: Column) -> Column:
+    return F.regexp_replace(canonical(strip_number(text)), r"\s+(%)", "$1")
+
+
+def identity_of(stem: Column, options: Column) -> Column:
+    """sha256 of a canonical stem and sorted canonical options."""
+    return F.sha2(F.concat(F.lit('{"opts": '), json_list(options), F.lit(', "stem": "'), stem, F.lit('"}')), 256)
+
+
 def identity(text: Column, options: Column) -> Column:
-    """sha256 of the canonical stem and the sorted canonical options."""
-    stem = F.regexp_replace(canonical(strip_number(text)), r"\s+(%)", "$1")
-    return F.sha2(F.concat(F.lit('{"opts": '), json_list(sorted_options(options)), F.lit(', "stem": "'), stem, F.lit('"}')), 256)
+    return identity_of(canonical_stem(text), sorted_options(options))
 
 
 def content_words(text: Column) -> Column:
@@ -80,8 +100,13 @@ def content_words(text: Column) -> Column:
     return F.array_sort(F.array_except(F.array_distinct(words), F.array(*[F.lit(w) for w in STOPWORDS])))
 
 
+def legacy_identity_of(words: Column, options: Column) -> Column:
+    """The older identity, of content words and sorted canonical options."""
+    return F.sha2(F.concat(F.lit('{"cw": '), json_list(words), F.lit(', "opts": '), json_list(options), F.lit("}")), 256)
+
+
 def legacy_identity(text: Column, options: Column) -> Column:
-    return F.sha2(F.concat(F.lit('{"cw": '), json_list(content_words(text)), F.lit(', "opts": '), json_list(sorted_options(options)), F.lit("}")), 256)
+    return legacy_identity_of(content_words(text), sorted_options(options))
 
 
 def source_question_key(number: Column, text: Column, options: Column) -> Column:
@@ -100,20 +125,29 @@ def canonical_answer(text: Column) -> Column:
     return F.replace(F.regexp_replace(t, "(?<=[a-z])-(?=[a-z])", ""), F.lit(" "), F.lit(""))
 
 
-def answer_identity(text: Column, index: Column, options: Column) -> Column:
-    """The verified answer of a record, or a sentinel where text, index and options disagree or say nothing."""
+def indexed_option(index: Column, options: Column) -> Column:
+    """The option at the index; NULL where there is none."""
     valid = F.coalesce((index >= 0) & (index < F.size(options)) & options.isNotNull(), F.lit(False))
-    by_index = F.when(valid, canonical_answer(F.get(options, index)))
+    return F.when(valid, F.coalesce(F.get(options, index), F.lit("")))
+
+
+def answer_of(text: Column, said: Column, index: Column, by_index: Column) -> Column:
+    """The verified answer from a text, its canonical form, the index, and the canonical option there."""
     given = F.trim(F.regexp_replace(F.coalesce(text, F.lit("")), rf"[{WS}]+", " ")) != ""
-    said = canonical_answer(text)
     return (
-        F.when(index.isNotNull() & ~valid, CONFLICT)
+        F.when(index.isNotNull() & by_index.isNull(), CONFLICT)
         .when(given & by_index.isNotNull() & (said != by_index), CONFLICT)
         .when(given, said)
         .otherwise(F.coalesce(by_index, F.lit(UNANSWERED)))
     )
 
 
+def answer_identity(text: Column, index: Column, options: Column) -> Column:
+    """The verified answer of a record, or a sentinel where text, index and options disagree or say nothing."""
+    option = indexed_option(index, options)
+    return answer_of(text, canonical_answer(text), index, F.when(option.isNotNull(), canonical_answer(option)))
+
+
 def _usable(a: Column, b: Column) -> Column:
     return F.coalesce((a != "") & (b != "") & ~a.startswith("__") & ~b.startswith("__"), F.lit(False))
 

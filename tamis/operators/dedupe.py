@@ -2,20 +2,30 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tamis.functions import canon
+from tamis.scratch import Scratch, spread
 
 
 def with_identity(q: DataFrame) -> DataFrame:
-    """Adds identity, answer and source_key to question rows."""
-    opts = F.transform("options", lambda o: F.coalesce(o, F.lit("")))
-    composed = q.withColumn("question_text", canon.nfc("question_text")).withColumn("correct_text", canon.nfc("correct_text"))
-    return composed.select(
-        "*",
-        canon.identity(F.col("question_text"), opts).alias("identity"),
-        canon.answer_identity(F.col("correct_text"), F.col("correct_index"), opts).alias("answer"),
+    """Adds identity and answer to question rows.
+
+    Each canonical form is a column of its own before it is used, so it is made once a row.
+    """
+    c = spread(q).withColumn("_c", canon.composed("question_text", "correct_text", "options"))
+    option = canon.indexed_option(F.col("correct_index"), F.col("_c.options"))
+    forms = {
+        "_stem": canon.canonical_stem(F.col("_c.text")), "_opts": canon.sorted_options(F.col("_c.options")),
+        "_said": canon.canonical_answer(F.col("_c.answer")), "_option": F.when(option.isNotNull(), canon.canonical_answer(option)),
+    }
+    return c.withColumns(forms).select(
+        *q.columns,
+        canon.identity_of(F.col("_stem"), F.col("_opts")).alias("identity"),
+        canon.answer_of(F.col("_c.answer"), F.col("_said"), F.col("correct_index"), F.col("_option")).alias("answer"),
     )
 
 
@@ -36,7 +46,7 @@ def merge_plan(q: DataFrame) -> DataFrame:
     sorted window.
     """
     bucket = ["chapter_id", "identity", "answer"]
-    able = q.where(~F.col("answer").startswith("__")).select(*bucket, "id", keeper_order().alias("k"))
+    able = Scratch(q.sparkSession).cut(q.where(~F.col("answer").startswith("__")).select(*bucket, "id", keeper_order().alias("k")))
     keep = able.groupBy(*bucket).agg(F.min("k")["id"].alias("keeper_id"), F.count("*").alias("n")).where("n > 1")
     return able.join(keep, bucket).where("id <> keeper_id").select("chapter_id", "identity", "keeper_id", F.col("id").alias("duplicate_id"))
 
@@ -92,17 +102,19 @@ def audit(plan: DataFrame, questions: DataFrame, reason: str = "exact") -> DataF
 def resolve(pointers: DataFrame, hops: int = 10) -> DataFrame:
     """(id, target) -> (id, root, hops): pointers followed at most ``hops`` steps; a loop or a longer chain gives NULL.
 
-    Each step is an equi-join of the open rows only, which get fewer.
+    Each step is an equi-join of the open rows only, written so that the next starts from it; the steps end when none is open.
     """
-    p = pointers.where("target IS NOT NULL").select(F.col("id").alias("at"), F.col("target").alias("next"))
-    now = pointers.select("id", F.coalesce("target", "id").alias("root"), F.when(F.col("target").isNull(), 0).otherwise(1).alias("hops"))
-    done = now.where("hops = 0")
-    now = now.where("hops = 1")
-    for k in range(2, hops + 2):
-        step = now.join(p, now["root"] == p["at"], "left")
-        done = done.unionByName(step.where("next IS NULL").select("id", "root", "hops"))
-        now = step.where("next IS NOT NULL").select("id", F.col("next").alias("root"), F.lit(k).alias("hops"))
-    return done.unionByName(now.select("id", F.lit(None).cast("bigint").alias("root"), "hops"))
+    scratch = Scratch(pointers.sparkSession)
+    p = scratch.cut(pointers.where("target IS NOT NULL").select(F.col("id").alias("at"), F.col("target").alias("next")))
+    done = [pointers.where("target IS NULL").select("id", F.col("id").alias("root"), F.lit(0).alias("hops"))]
+    now = p.select(F.col("at").alias("id"), F.col("next").alias("root"))
+    for k in range(1, hops + 1):
+        step = scratch.cut(now.join(p, now["root"] == p["at"], "left").select("id", "root", "next"), open=F.count("next"))
+        done.append(step.where("next IS NULL").select("id", "root", F.lit(k).alias("hops")))
+        if not scratch.last["open"]:
+            return reduce(DataFrame.unionByName, done)
+        now = step.where("next IS NOT NULL").select("id", F.col("next").alias("root"))
+    return reduce(DataFrame.unionByName, [*done, now.select("id", F.lit(None).cast("bigint").alias("root"), F.lit(hops + 1).alias("hops"))])
 
 
 def latest(df: DataFrame, key: str, *order: Column) -> DataFrame:

@@ -5,12 +5,14 @@ from __future__ import annotations
 from collections import Counter
 from collections.abc import Iterator
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tamis.functions import canon
 from tamis.functions.canon import STOPWORDS
+from tamis.scratch import Scratch
 
 
 def lcs(a: str, b: str) -> int:
@@ -38,11 +40,15 @@ def best_ratio(a: str, b: str) -> float:
     return max(ratio(a, b), ratio(" ".join(sorted(a.split())), " ".join(sorted(b.split()))))
 
 
+def options_score(a: list[str], b: list[str]) -> float:
+    """Mean of the better ratios of the sorted options; 0 if their numbers differ."""
+    if not len(a) or len(a) != len(b):
+        return 0.0
+    return sum(best_ratio(x, y) for x, y in zip(sorted(a), sorted(b))) / len(a)
+
+
 def pair_scores(a_text: str, b_text: str, a_opts: list[str], b_opts: list[str]) -> tuple[float, float]:
-    stem = best_ratio(a_text, b_text)
-    if not len(a_opts) or len(a_opts) != len(b_opts):
-        return stem, 0.0
-    return stem, sum(best_ratio(x, y) for x, y in zip(sorted(a_opts), sorted(b_opts))) / len(a_opts)
+    return best_ratio(a_text, b_text), options_score(a_opts, b_opts)
 
 
 def bound(a: str, b: str) -> float:
@@ -50,13 +56,36 @@ def bound(a: str, b: str) -> float:
     return 100.0 * 2 * sum((Counter(a) & Counter(b)).values()) / (len(a) + len(b)) if a or b else 100.0
 
 
+BINS = 64
+
+
+def _characters(text: Column) -> Column:
+    """Counts of a text's characters in BINS classes, as bytes of 32-bit numbers."""
+
+    def run(texts: pd.Series) -> pd.Series:
+        return texts.map(lambda t: np.bincount(np.frombuffer(t.encode("utf-32-le"), np.uint32) % BINS, minlength=BINS).astype(np.uint32).tobytes())
+
+    return F.pandas_udf(run, "binary")(text)
+
+
+def _common(a: str, b: str) -> Column:
+    """At least the characters that two texts have in common, from their counts."""
+
+    def run(x: pd.Series, y: pd.Series) -> pd.Series:
+        one = lambda s: np.frombuffer(b"".join(s), np.uint32).reshape(-1, BINS)
+        return pd.Series(np.minimum(one(x), one(y)).sum(1).astype(np.int64))
+
+    return F.pandas_udf(run, "bigint")(a, b)
+
+
 def _score(min_stem: float, min_options: float):
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
-            rows = zip(pdf["a_text"], pdf["b_text"], pdf["a_opts"], pdf["b_opts"])
-            s = [pair_scores(*r) if bound(r[0], r[1]) >= min_stem else (0.0, 0.0) for r in rows]
-            out = pdf[["chapter_id", "q1_id", "q2_id"]].assign(stem_score=[x[0] for x in s], options_score=[x[1] for x in s])
-            yield out[(out["stem_score"] >= min_stem) & (out["options_score"] >= min_options)]
+            # options are short, so they are compared first and the texts only where they pass
+            o = np.array([options_score(x, y) for x, y in zip(pdf["a_opts"], pdf["b_opts"])])
+            out = pdf[["chapter_id", "q1_id", "q2_id", "a_text", "b_text"]].assign(options_score=o)[o >= min_options]
+            out = out.assign(stem_score=[best_ratio(x, y) for x, y in zip(out["a_text"], out["b_text"])])
+            yield out.loc[out["stem_score"] >= min_stem, ["chapter_id", "q1_id", "q2_id", "stem_score", "options_score"]]
 
     return run
 
@@ -79,12 +108,20 @@ def candidates(q: DataFrame, min_stem: float = 80, min_options: float = 65, rare
     bounds, part of its meaning), have different identities, and stand among the best ``kept`` of either side.
     """
     norm = q.select("chapter_id", "id", "identity", words_of(F.col("question_text")).alias("text"), F.transform(F.coalesce("options", F.array().cast("array<string>")), words_of).alias("opts"))
-    tokens = norm.select("chapter_id", "id", F.explode(F.array_distinct(F.split("text", " "))).alias("w")).where((F.length("w") > 2) & ~F.col("w").isin(STOPWORDS))
+    tokens = norm.select("chapter_id", "id", F.length("text").alias("n"), F.size("opts").alias("k"), F.explode(F.array_distinct(F.split("text", " "))).alias("w")).where((F.length("w") > 2) & ~F.col("w").isin(STOPWORDS))
     df = tokens.groupBy("chapter_id", "w").agg(F.count("*").alias("df"))
     first = F.row_number().over(Window.partitionBy("chapter_id", "id").orderBy("df", "w"))
-    block = tokens.join(df, ["chapter_id", "w"]).withColumn("r", first).where((F.col("r") <= rare) & (F.col("df") <= posting)).select("chapter_id", "w", "id")
-    pair = block.withColumnRenamed("id", "q1_id").join(block.withColumnRenamed("id", "q2_id"), ["chapter_id", "w"]).where("q1_id < q2_id").select("chapter_id", "q1_id", "q2_id").distinct()
+    block = tokens.join(df, ["chapter_id", "w"]).withColumn("r", first).where((F.col("r") <= rare) & (F.col("df") <= posting)).select("chapter_id", "w", "id", "n", "k")
+    # lengths and numbers of options decide before any text moves
+    block = Scratch(q.sparkSession).cut(block.where("k > 0"))
+    left, right = (block.select("chapter_id", "w", *[F.col(c).alias(f"{c}{i}") for c in ("id", "n", "k")]) for i in (1, 2))
+    fits = (F.col("id1") < F.col("id2")) & (F.col("k1") == F.col("k2")) & (200 * F.least("n1", "n2") >= min_stem * (F.col("n1") + F.col("n2")))
+    pair = left.join(right, ["chapter_id", "w"]).where(fits).select("chapter_id", F.col("id1").alias("q1_id"), F.col("id2").alias("q2_id")).distinct()
     side = lambda s, c: norm.where(F.size("opts") > 0).select(F.col("id").alias(s), F.col("identity").alias(f"{c}_key"), F.col("text").alias(f"{c}_text"), F.col("opts").alias(f"{c}_opts"))
+    chars = norm.select("id", _characters(F.col("text")).alias("h"), F.length("text").alias("n"))
+    one = lambda s, c: chars.select(F.col("id").alias(s), F.col("h").alias(f"{c}h"), F.col("n").alias(f"{c}n"))
+    near = pair.join(one("q1_id", "a"), "q1_id").join(one("q2_id", "b"), "q2_id")
+    pair = near.where(200 * _common("ah", "bh") >= min_stem * (F.col("an") + F.col("bn")) - 1e-6).select("chapter_id", "q1_id", "q2_id")
     full = pair.join(side("q1_id", "a"), "q1_id").join(side("q2_id", "b"), "q2_id").where("NOT (a_key <=> b_key) AND size(a_opts) = size(b_opts)")
     full = full.where(200 * F.least(F.length("a_text"), F.length("b_text")) >= min_stem * (F.length("a_text") + F.length("b_text")))
     schema = "chapter_id bigint, q1_id bigint, q2_id bigint, stem_score double, options_score double"

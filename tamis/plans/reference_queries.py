@@ -5,11 +5,11 @@ from __future__ import annotations
 import re
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tamis.functions import canon
-from tamis.operators import classify, dedupe, ids, near, sync
+from tamis.operators import classify, corrections, dedupe, ids, near, sync
 from tamis.sources import json_files
 from tamis.scratch import small
 from tamis.streaming import feeds
@@ -69,7 +69,7 @@ def _identity(t: str = "question_text", o: str = "options") -> str:
 
 
 def _answer(t: str) -> str:
-    loose = _plain(t, "[\\x{00}-\\x{08}\\x{0e}-\\x{1b}\\x{7f}!\"#$&''(),.:;?@_`|{}\\[\\]\\\\]")
+    loose = _plain(t, "[\\x{00}-\\x{08}\\x{0e}-\\x{1b}\\x{7f}!\"#$&''(),.:;?@_`|{}\\[\\]\\\\\\x{2018}-\\x{201f}\\x{2026}\\x{2032}\\x{2033}\\x{2035}\\x{2036}]")
     tight = f"regexp_replace({loose}, '\\s*-\\s*', '-', 'g')"
     once = f"regexp_replace({tight}, '([a-z])-([a-z])', '\\1\\2', 'g')"
     return f"replace(regexp_replace({once}, '([a-z])-([a-z])', '\\1\\2', 'g'), ' ', '')"
@@ -118,8 +118,8 @@ _KEY_BODY = f"""sha256('{{"cw": ' || {_json(_WORDS(_strip('question_text')))} ||
 
 @query(f"SELECT id, CASE WHEN question_number IS NOT NULL THEN 'n:' || question_number ELSE 'i:' || {_KEY_BODY} END AS source_key FROM questions")
 def source_keys(spark, d):
-    q = table(spark, d, "questions").select("id", "question_number", canon.nfc("question_text").alias("t"), F.transform("options", lambda o: F.coalesce(o, F.lit(""))).alias("options"))
-    return q.select("id", canon.source_question_key(F.col("question_number"), F.col("t"), F.col("options")).alias("source_key"))
+    q = table(spark, d, "questions").select("id", "question_number", canon.composed("question_text", "correct_text", "options").alias("c"))
+    return q.select("id", canon.source_question_key(F.col("question_number"), F.col("c.text"), F.col("c.options")).alias("source_key"))
 
 
 @query(f"""SELECT f.id, sha256('["' || {_canon('b.book_name')} || '","' || {_canon('f.subtopic')} || '"]') AS location FROM files f JOIN books b ON f.book_id = b.id""")
@@ -187,13 +187,18 @@ def trigram_scores(spark, d):
     return p.select("q1_id", "q2_id", F.round(canon.set_similarity(F.col("a"), F.col("b")), 6).alias("similarity"))
 
 
-@query()
+_TRI_PAIRS = f"""WITH g AS (SELECT id, {_TRI('question_text')} AS g FROM questions), n AS (SELECT id, len(g) AS n, unnest(g) AS t FROM g),
+ p AS (SELECT a.id AS a, b.id AS b, count(*) AS c, any_value(a.n + b.n) AS s FROM n a JOIN n b ON a.t = b.t AND a.id < b.id AND a.n >= 0.9 * b.n - 1e-9 AND b.n >= 0.9 * a.n - 1e-9 GROUP BY 1, 2)
+SELECT a, b, c::DOUBLE / (s - c) AS similarity FROM p WHERE c::DOUBLE / (s - c) >= 0.9 - 1e-12"""
+
+
+@query(_TRI_PAIRS)
 def trigram_pairs(spark, d):
     """All pairs of questions with trigram similarity of 0.9 or more, over the whole table."""
     return near.trigram_pairs(table(spark, d, "questions").select("id", "question_text"), "id", "question_text", 0.9)
 
 
-@query()
+@query(f"SELECT round(similarity, 2) AS similarity, count(*) AS pairs FROM ({_TRI_PAIRS}) GROUP BY 1")
 def trigram_histogram(spark, d):
     return trigram_pairs(spark, d).groupBy(F.round("similarity", 2).alias("similarity")).agg(F.count("*").alias("pairs"))
 
@@ -319,13 +324,10 @@ def near_candidates(spark, d):
     return near.candidates(identified(spark, d))
 
 
-@query("""WITH o AS (SELECT q1_id AS a, q2_id AS b, arg_max(stem_score, (created_at, id)) AS s FROM dedupe_review_candidates WHERE q1_id < q2_id AND created_at IS NOT NULL AND lower(trim(status)) = 'pending' GROUP BY ALL)
-SELECT a AS q1_id, b AS q2_id, s AS stem_score FROM o""")
+@query("""WITH o AS (SELECT least(q1_id, q2_id) AS q1_id, greatest(q1_id, q2_id) AS q2_id, stem_score, row_number() OVER (PARTITION BY least(q1_id, q2_id), greatest(q1_id, q2_id) ORDER BY created_at DESC NULLS LAST, id DESC) AS k
+ FROM dedupe_review_candidates WHERE q1_id <> q2_id AND lower(trim(status)) = 'pending') SELECT q1_id, q2_id, stem_score FROM o WHERE k = 1""")
 def pending_candidates(spark, d):
-    """Pending pairs of different questions, however turned, with the score of the newest row.
-
-    The SQL is that of an earlier, narrower form, which leaves out rows turned round and rows without a time, so it doesn't agree.
-    """
+    """Pending pairs of different questions, however turned, with the score of the newest row; rows without a time are the oldest."""
     c = table(spark, d, "dedupe_review_candidates").where("q1_id <> q2_id AND lower(trim(status)) = 'pending'")
     pair = c.groupBy(F.least("q1_id", "q2_id").alias("q1_id"), F.greatest("q1_id", "q2_id").alias("q2_id"))
     return pair.agg(F.max_by("stem_score", F.struct("created_at", "id")).alias("stem_score"))
@@ -365,8 +367,21 @@ both("loose_conflicts", f"""WITH q AS (SELECT q.id, b.chapter_id, q.identity_key
 SELECT chapter_id, identity_key, count(*) AS n FROM q GROUP BY chapter_id, identity_key HAVING count(DISTINCT CASE WHEN answer <> '' THEN answer END) > 1""",
      r"""WITH q AS (SELECT q.id, b.chapter_id, q.identity_key, lower(regexp_replace(q.correct_text, '\s+', '', 'g')) AS answer FROM questions q JOIN files f ON q.file_ref_id = f.id JOIN books b ON f.book_id = b.id WHERE q.canonical_id IS NULL AND identity_key IS NOT NULL)
 SELECT chapter_id, identity_key, count(*) AS n FROM q GROUP BY chapter_id, identity_key HAVING count(DISTINCT CASE WHEN answer <> '' THEN answer END) > 1""")
-both("chapter_order", """SELECT id, chapter_key, row_number() OVER (ORDER BY level_id, try_cast(split_part(chapter_key, '.', 1) AS INT) NULLS LAST, chapter_key, id) AS natural_place,
- row_number() OVER (ORDER BY level_id, length(chapter_key) - length(replace(chapter_key, '.', '')), chapter_key, id) AS export_place FROM {chapters}""")
+@query("""SELECT id, chapter_key, row_number() OVER (ORDER BY level_id, regexp_full_match(chapter_key, '\\d+(\\.\\d+)*') DESC NULLS LAST, list_transform(string_split(chapter_key, '.'), lambda x: try_cast(x AS INT)), chapter_key, id) AS natural_place,
+ row_number() OVER (ORDER BY level_id, length(chapter_key) - length(replace(chapter_key, '.', '')), chapter_key, id) AS export_place FROM chapters""")
+def chapter_order(spark, d):
+    """Chapters of a level by the numbers of their key (1.2 before 1.10; keys that are no numbers last), and in export order."""
+    c = table(spark, d, "chapters").select("id", "chapter_key", "level_id")
+    numbers = F.transform(F.split("chapter_key", r"\\."), lambda x: x.try_cast("int"))
+    other = ~F.coalesce(F.col("chapter_key").rlike(r"^\\d+(\\.\\d+)*$"), F.lit(False))
+    dots = F.length("chapter_key") - F.length(F.replace("chapter_key", F.lit("."), F.lit("")))
+    place = lambda *by: F.row_number().over(Window.partitionBy("level_id").orderBy(*by))
+    before = c.groupBy("level_id").agg(F.count("*").alias("n"))
+    before = before.join(before.select(F.col("level_id").alias("lower"), F.col("n").alias("m")), F.col("lower") < F.col("level_id"), "left").groupBy("level_id").agg(F.coalesce(F.sum("m"), F.lit(0)).alias("before"))
+    out = c.join(F.broadcast(before), "level_id")
+    natural, export = place(other, numbers, "chapter_key", "id"), place(dots, "chapter_key", "id")
+    return out.select("id", "chapter_key", (F.col("before") + natural).alias("natural_place"), (F.col("before") + export).alias("export_place"))
+
 
 # ---------------------------------------------------------------- reports and corrections
 
@@ -422,8 +437,127 @@ def alias_overlay(spark, d):
     return sync.overlay(table(spark, d, "questions").select("id", "question_text"), a, "id", ["question_text"], "created_at")
 
 
-both("revertible", """WITH r AS (SELECT id, question_id, reverted_at, row_number() OVER (PARTITION BY question_id ORDER BY created_at DESC, id DESC) AS k FROM {admin_corrections} WHERE question_id IS NOT NULL AND created_at IS NOT NULL)
-SELECT id, question_id FROM r WHERE k = 1 AND reverted_at IS NULL""")
+# corrections end to end: edits are the console's corrections, taken by the id they name or else by their content, and reports
+# taken by the content of their snapshots within their file
+
+_SNAP = "question STRING, options ARRAY<STRING>, correctIndex INT, explanation STRING"
+
+
+def _edits(spark, d):
+    """Corrections as edits, of the question they name by id or public id."""
+    a = table(spark, d, "admin_corrections")
+    b, e = F.from_json("before_snapshot", _SNAP), F.from_json("after_snapshot", _SNAP)
+    a = a.select(F.col("id").alias("edit_id"), F.coalesce(F.col("question_id").cast("string"), "stable_qn_id").alias("ref"), F.lit(None).cast("string").alias("file_id"), b.alias("b"), e.alias("a"), F.col("created_at").alias("corrected_at"))
+    return a.select(
+        "edit_id", "ref", "file_id", F.col("b.question").alias("question_text"), F.col("b.options").alias("options"), F.col("a.question").alias("after_text"),
+        F.col("a.options").alias("after_options"), F.col("a.correctIndex").alias("after_index"), F.col("a.explanation").alias("after_explanation"), "corrected_at",
+    )
+
+
+def _records(spark, d):
+    f = table(spark, d, "files").select(F.col("id").alias("file_ref_id"), "file_id")
+    cols = ("id", "stable_qn_id", "canonical_id", "source_question_key", "question_number", "question_text", "options", "corrected_at", "explanation", "source_identity", "correct_index")
+    return table(spark, d, "questions").select(*cols, "file_ref_id").join(small(f, f.count()), "file_ref_id", "left").drop("file_ref_id")
+
+
+_BARE = lambda t: rf"trim(regexp_replace(coalesce({t}, ''), '^\s*\d+\s*[.)]\s*', ''), ' ')"
+_LEGACY = lambda t, o: f"""sha256('{{"cw": ' || {_json(_WORDS(t))} || ', "opts": ' || {_json(_opts(o))} || '}}')"""
+_ROOTS = """WITH RECURSIVE w(id, root, hops) AS (SELECT id, coalesce(canonical_id, id), CASE WHEN canonical_id IS NULL THEN 0 ELSE 1 END FROM questions
+ UNION ALL SELECT w.id, q.canonical_id, w.hops + 1 FROM w JOIN questions q ON q.id = w.root AND q.canonical_id IS NOT NULL WHERE w.hops BETWEEN 1 AND 10),
+ z AS (SELECT id, CASE WHEN max(hops) > 10 THEN NULL ELSE arg_max(root, hops) END AS root FROM w GROUP BY id)"""
+_RECORD_SQL = rf""" rec AS (SELECT q.id, f.file_id, {_identity('q.question_text', 'q.options')} AS ident, {_LEGACY('q.question_text', 'q.options')} AS legacy, {_BARE('q.question_text')} AS bare,
+  coalesce(q.options, []) AS opts, q.corrected_at IS NOT NULL AS fixed, CASE WHEN q.source_question_key IS NULL THEN q.question_number::VARCHAR ELSE regexp_extract(q.source_question_key, '^n:(.*)$', 1) END AS num
+  FROM questions q LEFT JOIN files f ON q.file_ref_id = f.id WHERE q.canonical_id IS NULL)"""
+
+
+def _found(edit: str, on: str) -> str:
+    """Per edit: records found, the least, how many of them were corrected, and the least of these."""
+    return f"SELECT e.edit_id, count(DISTINCT r.id) AS n, min(r.id) AS r, count(DISTINCT r.id) FILTER (WHERE r.fixed) AS c, min(r.id) FILTER (WHERE r.fixed) AS rc FROM {edit} e JOIN rec r ON {on} GROUP BY 1"
+
+
+_PICK = "CASE WHEN n = 1 THEN r WHEN c = 1 THEN rc END"
+_E_SQL = rf"""e AS (SELECT id AS edit_id, coalesce(question_id::VARCHAR, trim(stable_qn_id), '') AS ref, json_extract_string(before_snapshot, '$.question') AS t,
+  CAST(json_extract(before_snapshot, '$.options') AS VARCHAR[]) AS o, json_extract_string(after_snapshot, '$.question') AS nt, CAST(json_extract(after_snapshot, '$.options') AS VARCHAR[]) AS ao,
+  CAST(json_extract(after_snapshot, '$.correctIndex') AS INT) AS ai, json_extract_string(after_snapshot, '$.explanation') AS ax, created_at FROM admin_corrections)"""
+_MATCH_SQL = rf"""{_ROOTS}, {_E_SQL}, {_RECORD_SQL},
+ byid AS (SELECT e.edit_id, coalesce(l.id, CASE WHEN NOT regexp_matches(e.ref, '^\d{{1,18}}$') THEN (SELECT min(x.id) FROM questions x WHERE lower(x.stable_qn_id) = lower(e.ref) AND x.canonical_id IS NULL) END) AS r
+  FROM e LEFT JOIN z ON z.id = try_cast(e.ref AS BIGINT) LEFT JOIN questions l ON l.id = z.root AND l.canonical_id IS NULL),
+ k AS (SELECT e.edit_id, {_identity('e.t', 'e.o')} AS ident, {_LEGACY('e.t', 'e.o')} AS legacy, {_BARE('e.t')} AS bare, coalesce(e.o, []) AS opts FROM e JOIN byid USING (edit_id) WHERE byid.r IS NULL),
+ i AS ({_found('k', 'e.ident = r.ident')}), l AS ({_found('k', 'e.legacy = r.legacy')}), b AS ({_found('k', 'e.bare = r.bare AND e.opts = r.opts')}),
+ m AS (SELECT k.edit_id,
+   CASE WHEN i.n IS NOT NULL THEN CASE WHEN i.n = 1 THEN i.r WHEN i.c = 1 THEN i.rc END WHEN b.n = 1 THEN b.r END AS r1,
+   CASE WHEN i.n = 1 THEN 'identity' WHEN i.c = 1 THEN 'identity_corrected' WHEN b.n = 1 THEN 'text_options' END AS w1,
+   CASE WHEN l.n IS NOT NULL THEN CASE WHEN l.n = 1 THEN l.r WHEN l.c = 1 THEN l.rc END WHEN b.n = 1 THEN b.r END AS r2,
+   CASE WHEN l.n = 1 THEN 'legacy_identity' WHEN l.c = 1 THEN 'legacy_identity_corrected' WHEN l.n > 1 THEN 'ambiguous_identity(' || l.n || ')'
+        WHEN b.n = 1 THEN 'legacy_text_options' WHEN b.n > 1 THEN 'ambiguous_text(' || b.n || ')' ELSE 'not_found' END AS w2
+   FROM k LEFT JOIN i USING (edit_id) LEFT JOIN l USING (edit_id) LEFT JOIN b USING (edit_id)),
+ matched AS (SELECT byid.edit_id, coalesce(byid.r, m.r1, m.r2) AS record_id, CASE WHEN byid.r IS NOT NULL THEN 'qid' WHEN m.r1 IS NOT NULL THEN m.w1 ELSE m.w2 END AS reason FROM byid LEFT JOIN m USING (edit_id))"""
+
+
+@query(f"{_MATCH_SQL} SELECT edit_id, record_id, reason FROM matched")
+def correction_match(spark, d):
+    """The record of every correction: by id, then by content, with the reason where there is none."""
+    return corrections.match(_edits(spark, d), _records(spark, d))
+
+
+def _reports_as_edits(spark, d):
+    r = table(spark, d, "reported_questions").where("question_snapshot IS NOT NULL").groupBy(F.col("id").alias("edit_id"))
+    r = r.agg(F.max(F.struct("question_snapshot", "options_snapshot", "file_id")).alias("s"))
+    return r.select("edit_id", F.lit(None).cast("string").alias("ref"), F.col("s.file_id").alias("file_id"), F.col("s.question_snapshot").alias("question_text"), F.from_json("s.options_snapshot", "ARRAY<STRING>").alias("options"))
+
+
+@query(rf"""WITH s AS (SELECT id AS edit_id, max(row(question_snapshot, coalesce(options_snapshot, ''), coalesce(file_id, ''))) AS s FROM reported_questions WHERE question_snapshot IS NOT NULL GROUP BY id),
+ e AS (SELECT edit_id, s[1] AS t, try_cast(json(nullif(s[2], '')) AS VARCHAR[]) AS o, s[3] AS file_id FROM s), {_RECORD_SQL},
+ k AS (SELECT edit_id, file_id, regexp_extract(t, '^\s*(\d+)\s*[.)]', 1) AS num, {_identity('t', 'o')} AS ident, {_LEGACY('t', 'o')} AS legacy, {_BARE('t')} AS bare, coalesce(o, []) AS opts FROM e),
+ t0 AS ({_found("(SELECT * FROM k WHERE file_id <> '' AND num <> '')", 'e.file_id = r.file_id AND e.num = r.num')}),
+ i AS ({_found('k', "e.ident = r.ident AND e.file_id IN ('', r.file_id)")}), l AS ({_found('k', "e.legacy = r.legacy AND e.file_id IN ('', r.file_id)")}),
+ b AS ({_found('k', "e.bare = r.bare AND e.opts = r.opts AND e.file_id IN ('', r.file_id)")}),
+ m AS (SELECT k.edit_id, t0.n AS n0, CASE WHEN t0.n = 1 THEN t0.r END AS r0, i.n AS ni, CASE WHEN i.n = 1 THEN i.r WHEN i.c = 1 THEN i.rc END AS ri, l.n AS nl, CASE WHEN l.n = 1 THEN l.r WHEN l.c = 1 THEN l.rc END AS rl,
+   CASE WHEN b.n = 1 THEN b.r WHEN b.c = 1 AND k.file_id <> '' THEN b.rc END AS rb FROM k LEFT JOIN t0 USING (edit_id) LEFT JOIN i USING (edit_id) LEFT JOIN l USING (edit_id) LEFT JOIN b USING (edit_id))
+SELECT edit_id, CASE WHEN n0 IS NOT NULL THEN r0 ELSE coalesce(CASE WHEN ni IS NOT NULL THEN ri ELSE rb END, CASE WHEN nl IS NOT NULL THEN rl ELSE rb END) END AS record_id FROM m""")
+def report_match(spark, d):
+    """The record that a report's snapshot shows, by number, content and text within the file it names."""
+    return corrections.match(_reports_as_edits(spark, d), _records(spark, d)).select("edit_id", "record_id")
+
+
+@query(f"""{_MATCH_SQL}, p AS (SELECT edit_id, CASE WHEN coalesce(t, '') = '' OR coalesce(nt, '') = '' THEN 'missing_before_after' WHEN ao IS NULL OR len(ao) = 0 THEN 'invalid_after_options'
+ WHEN NOT coalesce(ai >= 0 AND ai < len(ao), false) THEN 'invalid_after_correct_index' END AS why FROM e)
+SELECT m.edit_id, CASE WHEN why IS NULL THEN record_id END AS record_id, coalesce(why, reason) AS reason, CASE WHEN why IS NOT NULL THEN 'skipped' WHEN record_id IS NULL THEN 'queued' ELSE 'applied' END AS state FROM matched m JOIN p USING (edit_id)""")
+def correction_states(spark, d):
+    """What comes of every correction: applied to a record, queued, or skipped as invalid."""
+    return corrections.process(_edits(spark, d), _records(spark, d))
+
+
+@query(f"""{_MATCH_SQL}, last AS (SELECT record_id AS id, arg_max(edit_id, row(created_at IS NOT NULL, created_at, edit_id)) AS edit_id FROM matched JOIN e USING (edit_id)
+ WHERE record_id IS NOT NULL AND coalesce(t, '') <> '' AND coalesce(nt, '') <> '' AND len(ao) > 0 AND ai >= 0 AND ai < len(ao) GROUP BY 1)
+SELECT q.id, {_BARE('nt')} AS question_text, ao AS options, ai AS correct_index, ao[ai + 1] AS correct_text, coalesce(nullif(ax, ''), q.explanation) AS explanation, {_identity('nt', 'ao')} AS identity_key,
+ (CASE WHEN trim(coalesce(ax, '')) <> '' THEN 20.0 ELSE 0.0 END + CASE WHEN len(ao) = 4 THEN 10.0 WHEN len(ao) = 3 THEN 5.0 WHEN len(ao) >= 5 THEN 8.0 ELSE 0.0 END + CASE WHEN length({_BARE('nt')}) BETWEEN 40 AND 200 THEN 3.0 ELSE 0.0 END)::DOUBLE AS quality_score,
+ e.created_at AS corrected_at, coalesce(q.source_identity, {_identity('t', 'o')}) AS source_identity FROM last JOIN e USING (edit_id) JOIN questions q ON q.id = last.id""")
+def corrections_applied(spark, d):
+    """The questions as the corrections leave them."""
+    edits, records = _edits(spark, d), _records(spark, d)
+    return corrections.apply(edits, corrections.process(edits, records), records)
+
+
+@query(f"""WITH s AS (SELECT a.*, {', '.join(f"json_extract_string({w}_snapshot, '$.question') AS {w}_t, CAST(json_extract({w}_snapshot, '$.options') AS VARCHAR[]) AS {w}_o, CAST(json_extract({w}_snapshot, '$.correctIndex') AS INT) AS {w}_i" for w in ('before', 'after'))} FROM admin_corrections a),
+ r AS (SELECT s.*, CASE WHEN s.reverted_at IS NOT NULL THEN 'already_reverted' WHEN EXISTS (SELECT 1 FROM admin_corrections n WHERE n.question_id = s.question_id AND n.id > s.id AND n.reverted_at IS NULL) THEN 'newer_correction'
+  WHEN q.id IS NULL THEN 'no_question' WHEN q.question_text IS DISTINCT FROM after_t OR q.options IS DISTINCT FROM after_o OR q.correct_index IS DISTINCT FROM after_i THEN 'changed_since' ELSE 'revertible' END AS reason FROM s LEFT JOIN questions q ON q.id = s.question_id)
+SELECT id, question_id, reason, CASE WHEN reason = 'revertible' THEN before_t END AS question_text, CASE WHEN reason = 'revertible' THEN before_o END AS options, CASE WHEN reason = 'revertible' THEN before_i END AS correct_index FROM r""")
+def revert_plan(spark, d):
+    """Which corrections can be taken back, and what the question then holds."""
+    side = lambda w: [F.from_json(f"{w}_snapshot", _SNAP)[f].alias(f"{w}_{n}") for f, n in (("question", "text"), ("options", "options"), ("correctIndex", "index"))]
+    a = table(spark, d, "admin_corrections").select("id", "question_id", "reverted_at", *side("before"), *side("after"))
+    return corrections.revert(a, table(spark, d, "questions").select("id", "question_text", "options", "correct_index"))
+
+
+@query(f"""{_ROOTS} SELECT r.id, z.root, q.corrected_at FROM {_LAST} r JOIN z ON z.id = r.qid JOIN questions q ON q.id = z.root
+ WHERE r.status IS DISTINCT FROM 'resolved' AND q.canonical_id IS NULL AND q.corrected_at IS NOT NULL AND (r.reported_at IS NULL OR q.corrected_at >= r.reported_at)""")
+def reports_resolved(spark, d):
+    """Reports that a correction of their question, or of the one it was merged into, settles."""
+    q = table(spark, d, "questions").select("id", "canonical_id", "corrected_at")
+    return corrections.reconcile(last_reports(spark, d).select("id", "qid", "status", "reported_at"), q)
+
+
 both("tombstone_anti", "SELECT q.id FROM {questions} q WHERE NOT EXISTS (SELECT 1 FROM {dedup_deletions} d WHERE d.deleted_id = q.id)")
 
 #: Columns of a report that a change made here and not yet pushed holds against the incoming state, and those that an incoming state never has.
@@ -431,13 +565,17 @@ _HELD = ["status", "resolved_at", "resolved_by", "corrected", "corrected_snapsho
 _OWN = ["backend_dirty", "correction_audit_id"]
 
 
-@query("""SELECT a.id, CASE WHEN a.backend_dirty THEN a.status ELSE coalesce(b.status, a.status) END AS status FROM (SELECT id, max(status) AS status, bool_or(backend_dirty) AS backend_dirty FROM reported_questions WHERE resolved_at IS NULL GROUP BY id) a
-LEFT JOIN (SELECT id, max(status) AS status FROM reported_questions WHERE resolved_at IS NOT NULL GROUP BY id) b ON a.id = b.id""")
-def dirty_upsert(spark, d):
-    """The reports after the resolved deliveries came in over the unresolved ones; new ids are inserted.
+_SIDE = lambda where: f"(SELECT * FROM reported_questions WHERE {where} QUALIFY row_number() OVER (PARTITION BY id ORDER BY coalesce(migrated_at, make_timestamp(0)) DESC, coalesce(resolved_at, make_timestamp(0)) DESC, coalesce(status, '') DESC) = 1)"
 
-    The SQL is that of an earlier, narrower form: it lacks the inserted ids and gives one column, so it doesn't agree.
-    """
+_STAYS = {"status": "coalesce(nullif(n.status, ''), 'open')", "resolved_at": "n.resolved_at", "resolved_by": "n.resolved_by", "corrected": "coalesce(n.corrected, false)", "corrected_snapshot": "n.corrected_snapshot", "backend_synced_at": "n.backend_synced_at"}
+_COMES = "uid qid file_id question_snapshot options_snapshot correct_index chosen_index reason note reported_by reported_at section app_version migrated_at".split()
+
+
+@query(f"""SELECT coalesce(n.id, o.id) AS id, {', '.join(f'CASE WHEN n.id IS NULL OR o.backend_dirty THEN o.{c} ELSE {x} END AS {c}' for c, x in _STAYS.items())},
+ {', '.join(f'CASE WHEN n.id IS NULL THEN o.{c} ELSE n.{c} END AS {c}' for c in _COMES)}, CASE WHEN o.id IS NULL THEN false ELSE o.backend_dirty END AS backend_dirty, o.correction_audit_id
+FROM {_SIDE('resolved_at IS NULL')} o FULL JOIN {_SIDE('resolved_at IS NOT NULL')} n ON o.id = n.id""")
+def dirty_upsert(spark, d):
+    """The reports after the resolved deliveries came in over the unresolved ones: six columns held where dirty, new ids inserted."""
     r = table(spark, d, "reported_questions")
     zero = F.timestamp_micros(F.lit(0))
     newest = [F.coalesce("migrated_at", zero), F.coalesce("resolved_at", zero), F.coalesce("status", F.lit("")), F.xxhash64(*r.columns)]
@@ -521,7 +659,7 @@ def stable_ids(spark, d):
     return ids.plan(q.select("id", "level", "chapter", "code", F.col("question_number").alias("number"), "key", "stable_qn_id", "corrected_at", "quality_score"), taken)
 
 
-@query()
+@query(rf"""SELECT id, json_object('id', id, 'question', regexp_replace(coalesce(question_text, ''), '^{_S}*\p{{Nd}}+{_S}*[.)]{_S}*', ''), 'options', options, 'correctIndex', correct_index, 'explanation', explanation)::VARCHAR AS json FROM ({_LIVE})""")
 def question_json(spark, d):
     """Every live question as the JSON object of an export file."""
     q = live_questions(spark, d, "id", "question_text", "options", "correct_index", "explanation")

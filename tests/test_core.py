@@ -52,6 +52,24 @@ def test_answer_identity(spark):
     assert got[:5] == ["backsight", "__answer_conflict__", "__answer_conflict__", "__unanswered__", "40°"]
 
 
+@pytest.mark.parametrize(("a", "b"), [("Young’s modulus", "Young's modulus"), ("2…", "2..."), ("5′", "5'"), ("“beam”", "beam"), ("a\u202fb", "a b")])
+def test_typographic_marks_do_not_tell_answers_apart(spark, a, b):
+    got = spark.createDataFrame([(a, b)], "a string, b string").select(canon.canonical_answer(F.col("a")), canon.canonical_answer(F.col("b"))).first()
+    assert got[0] == got[1] != ""
+
+
+def test_degrees_and_roots_tell_answers_apart(spark):
+    got = spark.createDataFrame([("40°", "40"), ("l/√2", "l/2")], "a string, b string").select(canon.canonical_answer(F.col("a")), canon.canonical_answer(F.col("b"))).collect()
+    assert all(r[0] != r[1] for r in got)
+
+
+def test_decomposed_text_options_and_answers_are_composed(spark):
+    q = [(1, "the café", ["café", None], "café", 0), (2, "the cafe\u0301", ["", "cafe\u0301"], "cafe\u0301", 1), (3, None, None, None, None), (4, None, [], " ", 0)]
+    got = {r["id"]: (r["identity"], r["answer"], r["question_text"]) for r in dedupe.with_identity(spark.createDataFrame(q, "id int, question_text string, options array<string>, correct_text string, correct_index int")).collect()}
+    assert got[1][:2] == got[2][:2] and got[1][1] == "café" and got[2][2] == q[1][1] and got[3][0] == got[4][0]
+    assert (got[3][1], got[4][1]) == ("__unanswered__", "__answer_conflict__")
+
+
 QUESTIONS = "id bigint, chapter_id bigint, identity string, answer string, corrected_at timestamp, quality_score float"
 
 
