@@ -50,17 +50,23 @@ class Store:
             os.fsync(f.fileno())
         os.replace(part, f"{self.root}/CURRENT")
 
-    def commit(self, tables: dict[str, DataFrame], dry_run: bool = False) -> int:
-        """The new version; nothing is written in a dry run."""
-        state = self.current()
+    def commit(self, tables: dict[str, DataFrame], dry_run: bool = False, migration: tuple[str, str] | None = None) -> int:
+        """The new version; nothing is written in a dry run.
+
+        The state is read under the lock, so no other writer's commit is lost.  A migration is recorded by the same
+        replacement that shows its tables.
+        """
         if dry_run:
-            return state["version"]
+            return self.current()["version"]
         with self.lock():
+            state = self.current()
             state["version"] += 1
             for name, df in tables.items():
                 at = f"{name}/v={state['version']}-{uuid.uuid4().hex[:8]}"
                 df.write.parquet(f"{self.root}/{at}")
                 state["tables"][name] = at
+            if migration:
+                state["migrations"][migration[0]] = migration[1]
             self._replace(state)
         return state["version"]
 
@@ -73,11 +79,7 @@ class Store:
             if known and known != mark:
                 raise ValueError(f"migration {version} has changed since it was applied")
             if not known:
-                self.commit(step(self))
-                state = self.current()
-                state["migrations"][version] = mark
-                with self.lock():
-                    self._replace(state)
+                self.commit(step(self), migration=(version, mark))
                 done.append(version)
         return done
 

@@ -169,6 +169,20 @@ def test_store_commits_all_or_nothing(spark, tmp_path):
     assert [x[0] for x in log] == ["bad"]
 
 
+def test_store_keeps_the_other_writers_commit_and_half_a_commit_shows_nothing(spark, tmp_path, monkeypatch):
+    one, two = Store(spark, str(tmp_path)), Store(spark, str(tmp_path))
+    one.commit({"a": spark.range(1)})
+    stale = one.current()
+    two.commit({"b": spark.range(2)})
+    assert one.commit({"a": spark.range(3)}) == 3 > stale["version"] and one.read("b").count() == 2 and two.read("a").count() == 3
+    with one.lock(), pytest.raises(FileExistsError):
+        two.commit({"a": spark.range(4)})
+    monkeypatch.setattr(one, "_replace", lambda state: 1 / 0)
+    with pytest.raises(ZeroDivisionError):
+        one.migrate([("1", "x", lambda st: {"a": spark.range(5)})])
+    assert two.read("a").count() == 3 and two.current()["migrations"] == {} and two.migrate([("1", "x", lambda st: {"a": spark.range(5)})]) == ["1"]
+
+
 def test_json_folder(spark, tmp_path):
     (tmp_path / "x").mkdir()
     (tmp_path / "x/a.json").write_text('{"questions": [{"q": "1"}, 5, {"q": "2"}]}')
