@@ -7,12 +7,15 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tamis.functions import canon
 from tamis.functions.canon import STOPWORDS
-from tamis.scratch import Scratch
+from tamis.functions.text import hash128
+from tamis.scratch import Scratch, small
+from tamis.scratch import spread as spread_files
 
 
 def lcs(a: str, b: str) -> int:
@@ -132,32 +135,109 @@ def candidates(q: DataFrame, min_stem: float = 80, min_options: float = 65, rare
     return ranked.select("chapter_id", "q1_id", "q2_id", F.round("stem_score", 2).alias("stem_score"), F.round("options_score", 2).alias("options_score")).distinct()
 
 
+_MIX = (np.uint64(0x9E3779B97F4A7C15), np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB))
+
+
+def _mixed(x: np.ndarray) -> np.ndarray:
+    """Every bit of the 64-bit numbers depends on all of the given ones."""
+    x = x + _MIX[0]
+    x = (x ^ (x >> np.uint64(30))) * _MIX[1]
+    x = (x ^ (x >> np.uint64(27))) * _MIX[2]
+    return x ^ (x >> np.uint64(31))
+
+
+def _classes(most: int, threshold: float) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(least size, largest size, parts) of the classes of sizes up to the one after ``most``'s.
+
+    A set's partners, by size alone, are in its own class or the next one.  Parts are one more than the elements in which a pair
+    of the class can differ.
+    """
+    reach = lambda n: max(n, int(n / threshold + 1e-6))
+    low, high = [1], [reach(reach(1))]
+    while low[-1] <= most:
+        low.append(high[-1] + 1)
+        high.append(reach(reach(low[-1])))
+    return np.array(low), np.array(high), np.array([int(2 * h * (1 - threshold) / (1 + threshold) + 1e-6) + 1 for h in high])
+
+
+def _parts(threshold: float):
+    """(id, g) -> (w, id, n, own, s1, s2): a row for each part of each set, as a member of its own class and as a guest of the next."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            ids, lists = batch.column(0).to_numpy(zero_copy_only=False), batch.column(1)
+            if not len(ids):
+                continue
+            n = np.diff(lists.offsets.to_numpy()).astype(np.int64)
+            g = _mixed(lists.flatten().to_numpy(zero_copy_only=False).astype(np.int64).view(np.uint64))
+            row = np.repeat(np.arange(len(n)), n)
+            # two of these sketches differ in no more bits than their sets in elements
+            bit = (g & np.uint64(127)).astype(np.int64)
+            odd = (np.bincount(row * 128 + bit, minlength=128 * len(n)) & 1).astype(np.uint8).reshape(-1, 128)
+            sketch = np.packbits(odd, axis=1).view(np.int64)
+            low, high, parts = _classes(int(n.max()), threshold)
+            own = np.searchsorted(low, n, "right") - 1
+            for up in (0, 1):
+                takes = (n / threshold + 1e-6 >= low[own + 1]) if up else np.ones(len(n), bool)
+                c = own[takes] + up
+                m = parts[c]
+                start = np.concatenate(([0], np.cumsum(m)))
+                base = np.full(len(n), -1, np.int64)
+                base[takes] = start[:-1]
+                inside = takes[row]
+                at = base[row[inside]] + ((g[inside] >> np.uint64(7)) % np.repeat(m, n[takes]).astype(np.uint64)).astype(np.int64)
+                sums = np.zeros(start[-1], np.uint64)
+                np.add.at(sums, at, _mixed(g[inside]))
+                which = np.arange(start[-1]) - np.repeat(start[:-1], m)
+                w = _mixed(sums ^ _mixed((np.repeat(c, m) << 32 | which).astype(np.uint64)))
+                of = np.repeat(np.flatnonzero(takes), m)
+                for k in range(0, len(w), 50_000):
+                    r = of[k : k + 50_000]
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array(w[k : k + 50_000].view(np.int64)), pa.array(ids[r]), pa.array(n[r].astype(np.int32)), pa.array(np.full(len(r), not up)), pa.array(sketch[r, 0]), pa.array(sketch[r, 1])],
+                        ["w", "id", "n", "own", "s1", "s2"],
+                    )
+
+    return run
+
+
 def trigram_pairs(df: DataFrame, key: str, text: str, threshold: float = 0.9) -> DataFrame:
     """Pairs (a, b, similarity), a < b, of trigram similarity >= threshold, by an exact filter.
 
-    Trigrams are ordered by frequency.  Two similar sets share at least two of the first n - ceil(t n) + 2 trigrams of
-    both, so they meet on pairs of those, in sets of fitting size and place; sets of one trigram meet on it.
+    Sets are cut into parts by a hash of the trigram, one part more than a pair of their class of sizes can have trigrams
+    that differ, so similar sets agree in a whole part and meet on it.  Each row has the parities of the set's trigrams in
+    128 bins, which drop nearly all other pairs inside the join.  Texts of the same words are one set until the end.
     """
-    sets = df.select(F.col(key).alias("id"), F.array_sort(F.transform(canon.trigrams(F.col(text)), lambda g: F.xxhash64(g))).alias("g")).where(F.size("g") > 0)
-    freq = sets.select(F.explode("g").alias("w")).groupBy("w").agg(F.count("*").alias("f"))
-    order = sets.select("id", F.explode("g").alias("w")).join(freq, "w").groupBy("id").agg(F.array_sort(F.collect_list(F.struct("f", "w"))).alias("o"))
-    n = F.size("o")
-    room = (n - F.ceil(n * threshold - 1e-9) + 2).cast("int")
-    first = order.select("id", n.alias("n"), F.slice("o", F.lit(1), room).alias("o")).where((n == 1) | F.exists("o", lambda x: x["f"] > 1)).repartition(spread(df), "id")
-    head = first.select("id", "n", F.posexplode("o").alias("i", "x"), "o").where(F.col("x.f") > 1)
-    rest = F.slice("o", F.col("i") + 2, F.greatest(F.size("o") - F.col("i") - 1, F.lit(0)))
-    two = head.select("id", "n", "i", "x", F.posexplode(rest).alias("j", "y")).where(F.col("y.f") > 1).select("id", "n", F.xxhash64("x.w", "y.w").alias("w"), (F.col("i") + F.col("j") + 1).alias("p"))
-    one = head.where("n = 1").select("id", "n", F.col("x.w").alias("w"), F.lit(0).alias("p"))
-    keys = two.unionByName(one)
-    side = lambda c: keys.select("w", F.col("id").alias(c), F.col("n").alias(f"n{c}"), F.col("p").alias(f"p{c}"))
+    scratch = Scratch(df.sparkSession)
+    q = df.select(F.col(key).alias("id"), F.col(text).alias("text")).where("id IS NOT NULL")
+    words = scratch.cut(q.select("id", words_of(F.col("text")).alias("words")).where("words <> ''").select("id", *hash128("words")))
+    first = words.groupBy("h1", "h2").agg(F.min("id").alias("rep"), F.count("*").alias("n")).where("n > 1").select("h1", "h2", "rep")
+    copies = scratch.cut(words.join(first, ["h1", "h2"]).select("rep", "id"), n=F.count("*"))
+    known = scratch.last["n"]
+    sets = spread_files(q).join(small(copies.where("id <> rep").select("id"), known), "id", "left_anti")
+    sets = sets.select("id", F.transform(canon.trigrams(F.col("text")), lambda g: F.xxhash64(g)).alias("g")).where(F.size("g") > 0)
+    parts = sets.mapInArrow(_parts(threshold), "w bigint, id bigint, n int, own boolean, s1 bigint, s2 bigint")
+    side = lambda c: parts.select("w", *[F.col(x).alias(f"{x}{c}") for x in ("id", "n", "own", "s1", "s2")])
     na, nb = F.col("na"), F.col("nb")
-    share = F.ceil((na + nb) * (threshold / (1 + threshold)) - 1e-9)
-    most = F.least(F.col("pa"), F.col("pb")) + 1 + F.least(na - F.col("pa"), nb - F.col("pb")) - 1
-    fits = (F.col("a") < F.col("b")) & (na >= threshold * nb - 1e-9) & (nb >= threshold * na - 1e-9) & (most >= share)
-    met = side("a").join(side("b"), "w").where(fits).select("a", "b").distinct()
-    whole = lambda c: sets.select(F.col("id").alias(c), F.col("g").alias(f"g{c}"))
+    differ = F.bit_count(F.col("s1a").bitwiseXOR(F.col("s1b"))) + F.bit_count(F.col("s2a").bitwiseXOR(F.col("s2b")))
+    fits = (F.col("ida") < F.col("idb")) & (F.col("owna") | F.col("ownb")) & (na >= threshold * nb - 1e-9) & (nb >= threshold * na - 1e-9)
+    met = side("a").hint("merge").join(side("b"), "w").where(fits & (differ <= (na + nb) * ((1 - threshold) / (1 + threshold)) + 1e-6))
+    met = scratch.cut(met.select(F.col("ida").alias("a"), F.col("idb").alias("b")).distinct(), n=F.count("*"))
+    texts = only(q, met, 2 * scratch.last["n"], "a", "b")
+    whole = lambda c: texts.select(F.col("id").alias(c), F.transform(canon.trigrams(F.col("text")), lambda g: F.xxhash64(g)).alias(f"g{c}"))
     sim = canon.set_similarity(F.col("ga"), F.col("gb"))
-    return met.join(whole("a"), "a").join(whole("b"), "b").select("a", "b", sim.alias("similarity")).where(F.col("similarity") >= threshold - 1e-12)
+    near = met.join(whole("a"), "a").join(whole("b"), "b").select("a", "b", sim.alias("similarity")).where(F.col("similarity") >= threshold - 1e-12)
+    of = lambda c: small(copies.select(F.col("rep").alias(c), F.col("id").alias(f"{c}_id")), known)
+    a, b = F.coalesce("a_id", "a"), F.coalesce("b_id", "b")
+    spelt = near.join(of("a"), "a", "left").join(of("b"), "b", "left").select(F.least(a, b).alias("a"), F.greatest(a, b).alias("b"), "similarity")
+    same = copies.select("rep", F.col("id").alias("a")).join(copies.select("rep", F.col("id").alias("b")), "rep").where("a < b")
+    return spelt.unionByName(same.select("a", "b", F.lit(1.0).alias("similarity")))
+
+
+def only(q: DataFrame, pairs: DataFrame, rows: int, *ends: str) -> DataFrame:
+    """The rows of q that a pair names, so that no others move; ``rows`` is the most ids that the pairs hold."""
+    ids = pairs.select(F.explode(F.array(*ends)).alias("id")).distinct()
+    return q.join(small(ids, rows), "id", "left_semi")
 
 
 def answer_status(a: Column, b: Column) -> Column:
@@ -174,7 +254,9 @@ def near_duplicates(q: DataFrame, threshold: float = 0.9) -> DataFrame:
     without words in their options are like none.
     """
     side = lambda s: q.select(F.col("id").alias(s), *[F.col(c).alias(f"{s}_{c}") for c in q.columns if c != "id"])
-    pair = trigram_pairs(q.select("id", "question_text"), "id", "question_text", threshold).withColumnRenamed("similarity", "q_sim")
+    scratch = Scratch(q.sparkSession)
+    pair = scratch.cut(trigram_pairs(q.select("id", "question_text"), "id", "question_text", threshold).withColumnRenamed("similarity", "q_sim"), n=F.count("*"))
+    q = only(q, pair, 2 * scratch.last["n"], "a", "b")
     both = pair.join(side("a"), "a").join(side("b"), "b")
     opts = lambda s: canon.trigrams(F.array_join(f"{s}_options", " "))
     both = both.withColumn("opt_sim", canon.set_similarity(opts("a"), opts("b"))).where(F.col("opt_sim") >= threshold - 1e-12)
