@@ -62,33 +62,110 @@ def bound(a: str, b: str) -> float:
 BINS = 64
 
 
-def _characters(text: Column) -> Column:
-    """Counts of a text's characters in BINS classes, as bytes of 32-bit numbers."""
-
-    def run(texts: pd.Series) -> pd.Series:
-        return texts.map(lambda t: np.bincount(np.frombuffer(t.encode("utf-32-le"), np.uint32) % BINS, minlength=BINS).astype(np.uint32).tobytes())
-
-    return F.pandas_udf(run, "binary")(text)
-
-
-def _common(a: str, b: str) -> Column:
-    """At least the characters that two texts have in common, from their counts."""
-
-    def run(x: pd.Series, y: pd.Series) -> pd.Series:
-        one = lambda s: np.frombuffer(b"".join(s), np.uint32).reshape(-1, BINS)
-        return pd.Series(np.minimum(one(x), one(y)).sum(1).astype(np.int64))
-
-    return F.pandas_udf(run, "bigint")(a, b)
+def _characters(texts: list[str]) -> np.ndarray:
+    """Counts of each text's characters in BINS classes."""
+    codes = np.frombuffer("".join(texts).encode("utf-32-le", "surrogatepass"), np.uint32)
+    row = np.repeat(np.arange(len(texts)), [len(t) for t in texts])
+    return np.bincount(row * BINS + codes % BINS, minlength=BINS * len(texts)).reshape(-1, BINS).astype(np.uint16 if max(map(len, texts), default=0) < 1 << 16 else np.uint32)
+
+
+def _bounds(counts: np.ndarray, i: np.ndarray, j: np.ndarray) -> np.ndarray:
+    """At least the characters that texts i and j have in common, from their counts."""
+    return np.minimum(counts[i], counts[j]).sum(1, dtype=np.int64)
+
+
+def _sorted_words(t: str) -> str:
+    return " ".join(sorted(t.split()))
+
+
+class _Postings:
+    """Rows (chapter_id, w, id, identity, text, opts) in order of chapter_id, w and id; every pair of a posting is scored where it stands."""
+
+    STEP = 100_000
+
+    def __init__(self, pdf: pd.DataFrame, min_stem: float, min_options: float):
+        self.pdf, self.min_stem, self.min_options = pdf, min_stem, min_options
+        self.id, self.key = pdf["id"].to_numpy(), pd.factorize(pdf["identity"])[0]
+        self.text, self.opts = pdf["text"].tolist(), [sorted(o) for o in pdf["opts"]]
+        self.n, self.k = np.array([len(t) for t in self.text]), np.array([len(o) for o in self.opts])
+        self.at = np.cumsum(self.k) - self.k
+        flat = [x for o in self.opts for x in o]
+        self.counts, self.opt_counts, self.opt_n = _characters(self.text), _characters(flat), np.array([len(x) for x in flat])
+        self.text_words, self.opt_words = [*map(_sorted_words, self.text)], [*map(_sorted_words, flat)]
+        self.flat = flat
+
+    def near(self, ends: np.ndarray) -> pd.DataFrame:
+        """``ends``: for each row, the place after the last row of its posting."""
+        follow, parts = ends - 1 - np.arange(len(ends)), []
+        total = np.cumsum(follow)
+        a = 0
+        while a < len(ends):
+            b = max(a + 1, int(np.searchsorted(total, (total[a - 1] if a else 0) + self.STEP, "right")))
+            i = np.repeat(np.arange(a, b), follow[a:b])
+            j = i + 1 + np.arange(len(i)) - np.repeat(np.cumsum(follow[a:b]) - follow[a:b], follow[a:b])
+            parts += self._scored(i, j)
+            a = b
+        chapter = self.pdf["chapter_id"].to_numpy()
+        got = np.array([(i, j) for i, j, _, _ in parts], np.int64).reshape(-1, 2)
+        return pd.DataFrame({
+            "chapter_id": chapter[got[:, 0]], "q1_id": self.id[got[:, 0]], "q2_id": self.id[got[:, 1]],
+            "stem_score": np.array([x[2] for x in parts], float), "options_score": np.array([x[3] for x in parts], float),
+        })
+
+    def _scored(self, i: np.ndarray, j: np.ndarray) -> list[tuple[int, int, float, float]]:
+        n, out = self.n, []
+        fits = (self.id[i] < self.id[j]) & (self.k[i] == self.k[j]) & (self.key[i] != self.key[j]) & (200 * np.minimum(n[i], n[j]) >= self.min_stem * (n[i] + n[j]))
+        i, j = i[fits], j[fits]
+        fits = 200 * _bounds(self.counts, i, j) >= self.min_stem * (n[i] + n[j]) - 1e-6
+        i, j = i[fits], j[fits]
+        for k in np.unique(self.k[i]):
+            x, y = (e[self.k[i] == k] for e in (i, j))
+            most = np.empty((len(x), k))
+            for o in range(k):
+                u, v = self.at[x] + o, self.at[y] + o
+                length = self.opt_n[u] + self.opt_n[v]
+                most[:, o] = np.where(length > 0, 200.0 * _bounds(self.opt_counts, u, v) / np.maximum(length, 1), 100.0)
+            fits = most.sum(1) >= self.min_options * k - 1e-6
+            for p, q, m in zip(x[fits].tolist(), y[fits].tolist(), most[fits].tolist()):
+                # options are short, so they are compared first and the texts only where they pass
+                if (score := self._options(p, q, m)) >= self.min_options:
+                    stem = max(ratio(self.text[p], self.text[q]), ratio(self.text_words[p], self.text_words[q]))
+                    if stem >= self.min_stem:
+                        out.append((p, q, stem, score))
+        return out
+
+    def _options(self, p: int, q: int, most: list[float]) -> float:
+        """options_score, or -1 as soon as the bounds of the options left can't bring it to the least."""
+        u, v, left, least = self.at[p], self.at[q], sum(most), self.min_options * len(most) - 1e-6
+        exact = []
+        for o, bound_ in enumerate(most):
+            s = max(ratio(self.flat[u + o], self.flat[v + o]), ratio(self.opt_words[u + o], self.opt_words[v + o]))
+            exact.append(s)
+            left += s - bound_
+            if left < least:
+                return -1.0
+        return sum(exact) / len(exact)
 
 
 def _score(min_stem: float, min_options: float):
+    """Scores postings that stand together; at most a batch and a posting are held."""
+
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        def scored(pdf: pd.DataFrame, starts: np.ndarray) -> pd.DataFrame:
+            ends = np.repeat(np.append(starts[1:], len(pdf)), np.diff(np.append(starts, len(pdf))))
+            return _Postings(pdf, min_stem, min_options).near(ends)
+
+        rest = None
         for pdf in batches:
-            # options are short, so they are compared first and the texts only where they pass
-            o = np.array([options_score(x, y) for x, y in zip(pdf["a_opts"], pdf["b_opts"])])
-            out = pdf[["chapter_id", "q1_id", "q2_id", "a_text", "b_text"]].assign(options_score=o)[o >= min_options]
-            out = out.assign(stem_score=[best_ratio(x, y) for x, y in zip(out["a_text"], out["b_text"])])
-            yield out.loc[out["stem_score"] >= min_stem, ["chapter_id", "q1_id", "q2_id", "stem_score", "options_score"]]
+            pdf = pdf if rest is None else pd.concat([rest, pdf], ignore_index=True)
+            starts = np.flatnonzero(((pdf["chapter_id"] != pdf["chapter_id"].shift()) | (pdf["w"] != pdf["w"].shift())).to_numpy())
+            if len(starts) < 2:
+                rest = pdf
+                continue
+            rest = pdf.iloc[starts[-1] :].reset_index(drop=True)
+            yield scored(pdf.iloc[: starts[-1]].reset_index(drop=True), starts[:-1])
+        if rest is not None and len(rest):
+            yield scored(rest, np.array([0]))
 
     return run
 
@@ -111,25 +188,16 @@ def candidates(q: DataFrame, min_stem: float = 80, min_options: float = 65, rare
     bounds, part of its meaning), have different identities, and stand among the best ``kept`` of either side.
     """
     norm = q.select("chapter_id", "id", "identity", words_of(F.col("question_text")).alias("text"), F.transform(F.coalesce("options", F.array().cast("array<string>")), words_of).alias("opts"))
-    tokens = norm.select("chapter_id", "id", F.length("text").alias("n"), F.size("opts").alias("k"), F.explode(F.array_distinct(F.split("text", " "))).alias("w")).where((F.length("w") > 2) & ~F.col("w").isin(STOPWORDS))
+    tokens = norm.select("chapter_id", "id", F.explode(F.array_distinct(F.split("text", " "))).alias("w")).where((F.length("w") > 2) & ~F.col("w").isin(STOPWORDS))
     df = tokens.groupBy("chapter_id", "w").agg(F.count("*").alias("df"))
     first = F.row_number().over(Window.partitionBy("chapter_id", "id").orderBy("df", "w"))
-    block = tokens.join(df, ["chapter_id", "w"]).withColumn("r", first).where((F.col("r") <= rare) & (F.col("df") <= posting)).select("chapter_id", "w", "id", "n", "k")
-    # lengths and numbers of options decide before any text moves
-    block = Scratch(q.sparkSession).cut(block.where("k > 0"))
-    left, right = (block.select("chapter_id", "w", *[F.col(c).alias(f"{c}{i}") for c in ("id", "n", "k")]) for i in (1, 2))
-    fits = (F.col("id1") < F.col("id2")) & (F.col("k1") == F.col("k2")) & (200 * F.least("n1", "n2") >= min_stem * (F.col("n1") + F.col("n2")))
-    pair = left.join(right, ["chapter_id", "w"]).where(fits).select("chapter_id", F.col("id1").alias("q1_id"), F.col("id2").alias("q2_id")).distinct()
-    side = lambda s, c: norm.where(F.size("opts") > 0).select(F.col("id").alias(s), F.col("identity").alias(f"{c}_key"), F.col("text").alias(f"{c}_text"), F.col("opts").alias(f"{c}_opts"))
-    chars = norm.select("id", _characters(F.col("text")).alias("h"), F.length("text").alias("n"))
-    one = lambda s, c: chars.select(F.col("id").alias(s), F.col("h").alias(f"{c}h"), F.col("n").alias(f"{c}n"))
-    near = pair.join(one("q1_id", "a"), "q1_id").join(one("q2_id", "b"), "q2_id")
-    pair = near.where(200 * _common("ah", "bh") >= min_stem * (F.col("an") + F.col("bn")) - 1e-6).select("chapter_id", "q1_id", "q2_id")
-    full = pair.join(side("q1_id", "a"), "q1_id").join(side("q2_id", "b"), "q2_id").where("NOT (a_key <=> b_key) AND size(a_opts) = size(b_opts)")
-    full = full.where(200 * F.least(F.length("a_text"), F.length("b_text")) >= min_stem * (F.length("a_text") + F.length("b_text")))
+    # a word that stands in one question has its rank but makes no pair
+    block = tokens.join(df, ["chapter_id", "w"]).withColumn("r", first).where((F.col("r") <= rare) & (F.col("df") > 1) & (F.col("df") <= posting)).select("chapter_id", "w", "id")
+    full = block.join(norm.where(F.size("opts") > 0), ["chapter_id", "id"]).select("chapter_id", "w", "id", "identity", "text", "opts")
     schema = "chapter_id bigint, q1_id bigint, q2_id bigint, stem_score double, options_score double"
-    full = full.repartition(spread(q), "q1_id", "q2_id")  # few bytes but much work: not to be merged into few tasks
-    scored = full.mapInPandas(_score(min_stem, min_options), schema)
+    # few bytes but much work: not to be merged into few tasks.  Pairs are made and judged there, so only those that pass move on
+    postings = full.repartition(spread(q), "chapter_id", "w").sortWithinPartitions("chapter_id", "w", "id")
+    scored = postings.mapInPandas(_score(min_stem, min_options), schema).distinct()
     best = F.row_number().over(Window.partitionBy("side").orderBy(F.desc(F.col("stem_score") + F.col("options_score")), F.desc("stem_score"), "q1_id", "q2_id"))
     ranked = scored.withColumn("side", F.explode(F.array("q1_id", "q2_id"))).withColumn("r", best).where(F.col("r") <= kept)
     return ranked.select("chapter_id", "q1_id", "q2_id", F.round("stem_score", 2).alias("stem_score"), F.round("options_score", 2).alias("options_score")).distinct()

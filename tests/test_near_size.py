@@ -4,6 +4,7 @@ import random
 
 import pytest
 
+from tamis.operators import near
 from tamis.plans import reference_queries
 
 
@@ -34,3 +35,24 @@ def test_shuffle_is_small(spark, bank, name, rows):
     got = reference_queries.QUERIES[name](spark, bank).collect()
     assert len(got) == rows
     assert shuffled(spark) - before < 1_500_000  # a tenth of a megabyte of text
+
+
+def test_near_candidates_shuffle_no_pairs(spark):
+    """Every pair shares a word, few are alike: only texts may move, and the bounds lose none of the pairs."""
+    rng = random.Random(8)
+    words = ["".join(rng.choice("bdgklmnprst") + rng.choice("aeiou") for _ in range(3)) for _ in range(60)]
+    option = lambda: f"{rng.randint(100, 99999)} {rng.choice(["mm", "kn", "days"])}"
+    made = [(rng.sample(words, 20), [option() for _ in range(rng.choice([0, 4, 4, 4, 4, 4, 4]))]) for _ in range(400)]
+    made += [(rng.sample(t[:18], 18) + rng.sample(words, 2), [o + rng.choice(["", "s", "1"]) for o in opts]) for t, opts in made[:30]]
+    q = [(i, 1, rng.choice([f"k{i}", f"k{i}", "k", None]), " ".join(t), opts) for i, (t, opts) in enumerate(made)]
+    want = {}
+    for a in q:
+        for b in q:
+            if a[0] < b[0] and a[2] != b[2] and near.options_score(a[4], b[4]) >= 65 and near.best_ratio(a[3], b[3]) >= 80:
+                want[a[0], b[0]] = tuple(round(x, 2) for x in near.pair_scores(a[3], b[3], a[4], b[4]))
+    df = spark.createDataFrame(q, "id bigint, chapter_id bigint, identity string, question_text string, options array<string>")
+    before = shuffled(spark)
+    got = {(r["q1_id"], r["q2_id"]): (r["stem_score"], r["options_score"]) for r in near.candidates(df, rare=30).collect()}
+    used = shuffled(spark) - before
+    assert got.keys() == want.keys() and len(want) > 15 and all(abs(x - y) < 0.011 for k in want for x, y in zip(got[k], want[k]))
+    assert used < 1_500_000, used
