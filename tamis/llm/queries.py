@@ -47,14 +47,13 @@ def p1_survivors(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def p1_found(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The survivors by the model, checked against the problem's rule: the first member with any value is the right one."""
-    s = p1_survivors(spark, sf_dir)
-    right = lambda f, name: F.when(F.col(f"{f}_id") == F.col(f"{f}_first"), F.col(f"{f}_id")).otherwise(F.col(f"{f}_first")).alias(name)
-    return s.select("group_id", "best_id", right("explanation", "explanation_id"), right("correct_text", "answer_id"))
+    """The survivors by the problem's rule: per field the first member with any value.  The model can't change them, so it isn't run."""
+    s = survivors.by_order(merged_members(spark, sf_dir, Scratch(spark)), MERGED)
+    return s.select("group_id", "best_id", "explanation_id", F.col("correct_text_id").alias("answer_id"))
 
 
 def p1_changed(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Groups, and those where the model passed over the value that ranks first, which the check of p1_found undoes."""
+    """Groups, and those where the model passed over the value that ranks first, which p1_found takes."""
     s = p1_survivors(spark, sf_dir)
     return s.agg(F.count("*").alias("groups"), *[F.count_if(F.col(f"{f}_id") != F.col(f"{f}_first")).alias(f"{f}_changed") for f in MERGED])
 

@@ -116,3 +116,9 @@ def survivors(members: DataFrame, judged: DataFrame, fields: list[str]) -> DataF
     picked = every.groupBy("group_id").agg(first("").alias("best_id"), *[x for f in fields for x in (first(f).alias(f"{f}_any"), first(f, F.col("true")).alias(f"{f}_true"))])
     or_none = lambda *c: F.coalesce(*c, F.lit(-1)).cast("bigint")
     return picked.select("group_id", "best_id", *[x for f in fields for x in (or_none(f"{f}_true", f"{f}_any").alias(f"{f}_id"), or_none(f"{f}_any").alias(f"{f}_first"))])
+
+
+def by_order(members: DataFrame, fields: list[str]) -> DataFrame:
+    """(group_id, best_id, <field>_id, ...): the first member, and per field the first with any value, -1 if there is none."""
+    first = lambda f: F.coalesce(F.min(F.when(content(F.col(f)).isNotNull(), F.col("rank")))["id"], F.lit(-1)).cast("bigint").alias(f"{f}_id")
+    return members.groupBy("group_id").agg(F.min("rank")["id"].alias("best_id"), *[first(f) for f in fields])
