@@ -29,7 +29,7 @@ def bank(spark, tmp_path_factory):
     return d
 
 
-@pytest.mark.parametrize("name,rows", [("near_duplicates", 40), ("trigram_pairs", 120), ("near_duplicate_summary", 1)])
+@pytest.mark.parametrize("name,rows", [("near_duplicates", 40), ("trigram_pairs", 120), ("near_duplicate_summary", 1), ("near_duplicate_chapters", 0)])
 def test_shuffle_is_small(spark, bank, name, rows):
     before = shuffled(spark)
     got = reference_queries.QUERIES[name](spark, bank).collect()
