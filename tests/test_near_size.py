@@ -37,6 +37,16 @@ def test_shuffle_is_small(spark, bank, name, rows):
     assert shuffled(spark) - before < 1_500_000  # a tenth of a megabyte of text
 
 
+@pytest.mark.parametrize("name", ["trigram_histogram", "trigram_pairs", "near_duplicate_summary", "near_duplicate_chapters"])
+def test_shuffle_is_below_that_of_shared_trigrams(spark, bank, name):
+    """A join on single trigrams shuffled 1.2 MB here."""
+    before = shuffled(spark)
+    got = reference_queries.QUERIES[name](spark, bank).collect()
+    if name == "trigram_histogram":
+        assert {r["similarity"]: r["pairs"] for r in got} == {0.99: 80, 1.0: 40}
+    assert shuffled(spark) - before < 600_000
+
+
 def test_near_candidates_shuffle_no_pairs(spark):
     """Every pair shares a word, few are alike: only texts may move, and the bounds lose none of the pairs."""
     rng = random.Random(8)
